@@ -1,0 +1,2 @@
+"""Intentionally empty: the work this library covers is batch only (no unbounded source, state or
+watermark), so there is no streaming operator to offer."""
