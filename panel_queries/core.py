@@ -10,7 +10,8 @@ from panel_queries.base import (
 )
 from panelcraft.functions import columns as names
 from panelcraft.functions import scalars as sc
-from panelcraft.operators import checks, clean, features, integrate, panel_windows as pw, profile, targets
+from panelcraft.operators import checks, clean, explore, integrate, profile
+from panelcraft.operators import panel_windows as pw
 from panelcraft.operators.panel_windows import PanelKey
 from panelcraft.operators.quantiles import quantiles
 from panelcraft.session import scratch_folder
@@ -52,12 +53,19 @@ def _(t):
 
 @query(
     "s6_source_check",
-    """SELECT 'orders' AS source, true AS present UNION ALL SELECT 'lineitem', true UNION ALL SELECT 'shipments', false""",
+    """SELECT 'orders' AS source, COUNT(*) AS n_rows FROM orders UNION ALL SELECT 'lineitem', COUNT(*) FROM lineitem
+       UNION ALL SELECT 'shipments', NULL""",
 )
 def _(t):
+    """Row count of every source that is present, NULL for one that is not."""
     wanted = {n: f"{t.folder}/{n}.parquet" for n in ("orders", "lineitem", "shipments")}
     missing = set(readers.missing_sources(t.spark, wanted))
-    return t.spark.createDataFrame([(n, n not in missing) for n in wanted], "source string, present boolean")
+    counted = [
+        t.spark.range(1).select(F.lit(n).alias("source"), F.lit(None).cast("long").alias("n_rows")) if n in missing
+        else t.spark.read.parquet(path).agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(n).alias("source"), "n_rows")
+        for n, path in wanted.items()
+    ]
+    return counted[0].unionByName(counted[1]).unionByName(counted[2])
 
 
 @query(
@@ -83,13 +91,16 @@ def _(t):
 
 @query(
     "p1_find_column",
-    """SELECT 'date' AS keyword, 'o_orderdate' AS found UNION ALL SELECT 'price', 'o_totalprice'
-       UNION ALL SELECT 'vaccine', NULL""",
+    """SELECT 'date' AS keyword, 'o_orderdate' AS found, COUNT(o_orderdate) AS present FROM orders
+       UNION ALL SELECT 'price', 'o_totalprice', COUNT(o_totalprice) FROM orders""",
 )
 def _(t):
-    cols = t.orders.columns
-    rows = [(k, names.find_column(cols, [k], required=False)) for k in ("date", "price", "vaccine")]
-    return t.spark.createDataFrame(rows, "keyword string, found string")
+    """Columns located by keyword, with the number of values each holds."""
+    found = {k: names.find_column(t.orders.columns, [k]) for k in ("date", "price")}
+    counted = t.orders.agg(*[F.count(c).alias(k) for k, c in found.items()])
+    return counted.select(F.inline(F.array(*[
+        F.struct(F.lit(k).alias("keyword"), F.lit(c).alias("found"), F.col(k).alias("present")) for k, c in found.items()
+    ])))
 
 
 @query(
@@ -136,15 +147,23 @@ def _(t):
 
 @query(
     "p7_column_roles",
-    """SELECT 'epidemiological' AS role, 'new_cases' AS column_name UNION ALL SELECT 'epidemiological', 'new_deaths'
-       UNION ALL SELECT 'outlier', 'new_cases' UNION ALL SELECT 'outlier', 'new_deaths'""",
+    f"""WITH p AS ({ORDER_PANEL_SQL}) SELECT 'epidemiological' AS role, 'new_cases' AS column_name, COUNT(new_cases) AS present FROM p
+        UNION ALL SELECT 'epidemiological', 'new_deaths', COUNT(new_deaths) FROM p
+        UNION ALL SELECT 'outlier', 'new_cases', COUNT(new_cases) FROM p
+        UNION ALL SELECT 'outlier', 'new_deaths', COUNT(new_deaths) FROM p""",
 )
 def _(t):
-    roles = names.ColumnRoles.resolve(order_panel(t))
-    groups = {"epidemiological": roles.epidemiological, "socioeconomic": roles.socioeconomic,
-              "outlier": roles.outlier, "vaccination": roles.vaccination}
-    rows = [(role, c) for role, cols in groups.items() for c in cols]
-    return t.spark.createDataFrame(rows, "role string, column_name string")
+    """Columns per role with the number of values each holds."""
+    panel = order_panel(t)
+    roles = names.ColumnRoles.resolve(panel)
+    groups = [("epidemiological", roles.epidemiological), ("socioeconomic", roles.socioeconomic),
+              ("outlier", roles.outlier), ("vaccination", roles.vaccination)]
+    found = [(role, c) for role, cols in groups for c in cols]
+    counted = panel.agg(*[F.count(c).alias(f"n{i}") for i, (_, c) in enumerate(found)])
+    return counted.select(F.inline(F.array(*[
+        F.struct(F.lit(role).alias("role"), F.lit(c).alias("column_name"), F.col(f"n{i}").alias("present"))
+        for i, (role, c) in enumerate(found)
+    ])))
 
 
 @query(
@@ -177,11 +196,18 @@ def _(t):
     return checks.drop_incomplete(gappy_panel(t), ["new_cases"]).select("row_id", "new_cases")
 
 
-@query("p11_pick_target", "SELECT 'preferred' AS rule, 'vaccination_rate' AS target UNION ALL SELECT 'first numeric', 'o_orderkey'")
+@query(
+    "p11_pick_target",
+    """SELECT 'vaccination_rate' AS target, COUNT(*) AS n, ROUND(AVG(o_totalprice), 4) AS mean FROM orders
+       UNION ALL SELECT 'o_orderkey', COUNT(*), ROUND(AVG(o_orderkey), 4) FROM orders""",
+)
 def _(t):
-    renamed = t.orders.withColumnRenamed("o_totalprice", "vaccination_rate")
-    rows = [("preferred", names.pick_target(renamed)), ("first numeric", names.pick_target(t.orders))]
-    return t.spark.createDataFrame(rows, "rule string, target string")
+    """The preferred target where it exists, else the first numeric column; each with count and mean."""
+    parts = []
+    for df in (t.orders.withColumnRenamed("o_totalprice", "vaccination_rate"), t.orders):
+        target = names.pick_target(df)
+        parts.append(df.agg(F.count(target).alias("n"), F.round(F.avg(target), 4).alias("mean")).select(F.lit(target).alias("target"), "n", "mean"))
+    return parts[0].unionByName(parts[1])
 
 
 @query(
@@ -427,9 +453,7 @@ def _(t):
         FROM daily WINDOW w AS (ORDER BY date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)""",
 )
 def _(t):
-    from panelcraft.operators.explore import daily_totals, timeline
-
-    out = timeline(daily_totals(event_panel(t), ["new_cases"]), ["new_cases"], 7)
+    out = explore.timeline(explore.daily_totals(event_panel(t), ["new_cases"]), ["new_cases"], 7)
     return out.select(text_date(), "new_cases", r("new_cases_ma_7"))
 
 

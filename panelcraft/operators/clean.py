@@ -115,10 +115,12 @@ class Cleaner:
     dropped: list[str] = field(default_factory=list)
     medians: dict[str, float | None] = field(default_factory=dict)
     bounds: dict[str, tuple[float, float]] = field(default_factory=dict)
+    may_be_hot: bool = True
 
     def fit(self, df: DataFrame) -> Cleaner:
         counts = null_counts(df)
         rows = counts[""]
+        self.may_be_hot = rows > self.max_rows
         self.dropped = sparse_columns(counts, self.sparse_threshold)
         filled = self._carried(df.drop(*self.dropped))
         options = {"rows": rows, "small_rows": self.small_rows}
@@ -146,7 +148,7 @@ class Cleaner:
     def _carried(self, df: DataFrame) -> DataFrame:
         if self.fill_group is None or self.key.entity not in df.columns or self.key.date not in df.columns:
             return df
-        return forward_fill(df, self.key, self._group(df, self.fill_group), max_rows=self.max_rows)
+        return forward_fill(df, self.key, self._group(df, self.fill_group), max_rows=self.max_rows, check=self.may_be_hot)
 
     @staticmethod
     def _group(df: DataFrame, group: str | None) -> list[str]:
