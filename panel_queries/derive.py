@@ -183,14 +183,19 @@ FEATURE_COLUMNS += ["new_cases_acceleration", "new_deaths_acceleration", "vac_de
 CALENDAR_COLUMNS = ["day_of_week", "month", "quarter", "days_since_start", "is_weekend"]
 
 
+def _digits(column):
+    """Products of big numbers carry fewer exact decimals."""
+    return -3 if column.endswith("interaction") else 4 if column == "cases_per_million" else 7
+
+
 def _sql(steps, table, columns, whole=(), texts=()):
-    rounded = ", ".join(f"ROUND({c}, 4)::DOUBLE AS {c}" for c in columns)
+    rounded = ", ".join(f"ROUND({c}, {_digits(c)})::DOUBLE AS {c}" for c in columns)
     exact = "".join(f", {c}::BIGINT AS {c}" for c in whole) + "".join(f", {c}" for c in texts)
     return f"WITH {steps} SELECT location, CAST(date AS VARCHAR) AS date, {rounded}{exact} FROM {table}"
 
 
 def _out(df, columns, whole=(), texts=()):
-    return df.select("location", text_date(), *[r(c, 4) for c in columns], *[F.col(c).cast("long").alias(c) for c in whole], *texts)
+    return df.select("location", text_date(), *[r(c, _digits(c)) for c in columns], *[F.col(c).cast("long").alias(c) for c in whole], *texts)
 
 
 def raw_tables(t):
@@ -349,22 +354,22 @@ def _factor_rows(t):
     f"""WITH d AS ({_FACTOR_ROWS_SQL}), q AS (SELECT QUANTILE_CONT(mortality_rate, 0.95) AS m, QUANTILE_CONT(hospital_beds_per_thousand, 0.95) AS b FROM d)
         SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
                ROUND((LEAST(vaccination_rate, 1) + (1 - CASE WHEN mortality_rate > m THEN 1 ELSE mortality_rate / m END)
-                      + LEAST(hospital_beds_per_thousand / b, 1)) / 3, 6) AS preparedness_score FROM d, q""",
+                      + LEAST(hospital_beds_per_thousand / b, 1)) / 3, 9) AS preparedness_score FROM d, q""",
 )
 def _(t):
     rows = _factor_rows(t)
     scored = targets.TargetBuilder().fit(rows).transform(rows)
-    return scored.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", r("preparedness_score"))
+    return scored.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", r("preparedness_score", 9))
 
 
 @query(
     "f11_capacity_score",
     f"""WITH d AS ({_FACTOR_ROWS_SQL}), q AS (SELECT QUANTILE_CONT(gdp_per_capita, 0.95) AS g, QUANTILE_CONT(hospital_beds_per_thousand, 0.95) AS b FROM d)
         SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
-               ROUND((LEAST(hospital_beds_per_thousand / b, 1) + LEAST(gdp_per_capita / g, 1) + LEAST(human_development_index, 1)) / 3 * 100, 6)
+               ROUND((LEAST(hospital_beds_per_thousand / b, 1) + LEAST(gdp_per_capita / g, 1) + LEAST(human_development_index, 1)) / 3 * 100, 8)
                AS healthcare_capacity_score FROM d, q""",
 )
 def _(t):
     rows = _factor_rows(t)
     scored = targets.TargetBuilder().fit(rows).transform(rows)
-    return scored.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", r("healthcare_capacity_score"))
+    return scored.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", r("healthcare_capacity_score", 8))
