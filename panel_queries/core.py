@@ -228,7 +228,7 @@ def _(t):
     "SELECT o_orderkey, ROW_NUMBER() OVER (ORDER BY o_totalprice, o_orderkey) - 1 AS row_index FROM orders",
 )
 def _(t):
-    return integrate.with_row_index(t.orders, ["o_totalprice", "o_orderkey"], parts=64).select("o_orderkey", "row_index")
+    return integrate.with_row_index(t.orders, ["o_totalprice", "o_orderkey"]).select("o_orderkey", "row_index")
 
 
 @query("p13_first_rows", "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_orderkey LIMIT 6049")

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelcraft.functions.columns import numeric_columns
+from panelcraft.session import cut_lineage
 
 KEYS = ("location", "date")
 
@@ -57,28 +58,22 @@ def attach_labels_by_position(df: DataFrame, labels: DataFrame, order: Sequence[
     return left.join(right, "__i", "left").drop("__i")
 
 
-def with_row_index(df: DataFrame, order: Sequence[str], name: str = "row_index", parts: int = 1024) -> DataFrame:
-    """0-based position in a total order, without putting all rows in one window partition.
+def with_row_index(df: DataFrame, order: Sequence[str], name: str = "row_index") -> DataFrame:
+    """0-based position in a total order, stored once so that it cannot change.
 
-    Rows are numbered inside value ranges of a numeric leading column (or inside each value of any other
-    leading column) and shifted by the count of the rows before their range.
+    A global sort spreads the rows over range partitions; positions inside each are shifted by the row counts
+    of the partitions before it, a table with one row per partition. Rows move once.
     """
-    lead = order[0]
-    if lead in numeric_columns(df):
-        cuts = df.agg(F.percentile_approx(lead, F.array(*[F.lit(i / parts) for i in range(1, parts)]), 10_000)).first()[0]
-        bounds = F.array(*[F.lit(c) for c in sorted(set(cuts or []))]) if cuts else F.array().cast("array<double>")
-        part = F.size(F.filter(bounds, lambda b: b <= F.col(lead)))
-    else:
-        part = F.col(lead)
-    placed = df.withColumn("__part", part)
-    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)  # one row per part
-    offsets = placed.groupBy("__part").count().select(
-        F.col("__part").alias("__p"), F.coalesce(F.sum("count").over(before), F.lit(0)).alias("__before")
+    bits = 33  # the generated id is (partition << 33) + position in the partition
+    numbered = cut_lineage(df.orderBy(*order).withColumn("__id", F.monotonically_increasing_id()))
+    part = F.shiftrightunsigned("__id", bits)
+    before = Window.partitionBy().orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = numbered.groupBy(part.alias("__part")).count().select(
+        "__part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("__before")
     )
-    inside = Window.partitionBy("__part").orderBy(*order)
-    numbered = placed.withColumn("__row", F.row_number().over(inside))
-    joined = numbered.join(offsets, F.col("__part").eqNullSafe(F.col("__p")), "left")
-    return joined.select(*df.columns, (F.col("__before") + F.col("__row") - 1).alias(name))
+    joined = numbered.withColumn("__part", part).join(F.broadcast(offsets), "__part")
+    position = F.col("__before") + F.col("__id").bitwiseAND(F.lit((1 << bits) - 1))
+    return joined.select(*df.columns, position.alias(name))
 
 
 def first_rows(df: DataFrame, rows: int, order: Sequence[str]) -> DataFrame:

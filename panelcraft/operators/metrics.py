@@ -11,8 +11,7 @@ from pyspark.sql import functions as F
 from panelcraft.functions.scalars import (
     accuracy_band, four_decimals, mean_plus_minus, speed_band, tradeoff_zone,
 )
-
-AUC_PARTS = 256
+from panelcraft.session import cut_lineage
 
 
 def _safe(numerator: Column, denominator: Column) -> Column:
@@ -87,12 +86,8 @@ def roc_auc_ovr(df: DataFrame, label: str, scores: Mapping[str, str | Column], b
     counted = df.select(*by, F.inline(cells)).groupBy(*keys, "score").agg(
         F.sum("positive").alias("pos"), F.sum(1 - F.col("positive")).alias("neg")
     )
-    cuts = F.array(*[F.lit(i / AUC_PARTS) for i in range(1, AUC_PARTS)])
-    bounds = counted.groupBy(*keys).agg(F.percentile_approx("score", cuts, 10_000).alias("bounds"))
-    on = reduce(lambda a, b: a & b, [F.col(f"x.{k}").eqNullSafe(F.col(f"y.{k}")) for k in keys])
-    placed = counted.alias("x").join(F.broadcast(bounds.alias("y")), on).select(  # models x classes rows
-        "x.*", F.size(F.filter("bounds", lambda b: b <= F.col("score"))).alias("part")
-    )
+    # range partitions of the whole order, stored so that the ranges stay put; a class spans as many as it needs
+    placed = cut_lineage(counted.repartitionByRange(*keys, "score").withColumn("part", F.spark_partition_id()))
     inside = Window.partitionBy(*keys, "part").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
     local = placed.withColumn("below", F.coalesce(F.sum("neg").over(inside), F.lit(0)))
     parts = local.groupBy(*keys, "part").agg(
