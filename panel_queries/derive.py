@@ -8,7 +8,7 @@ from panel_queries.base import EVENT_PANEL_SQL, event_panel, query, r, text_date
 from panelcraft.functions import scalars as sc
 from panelcraft.operators import features, targets
 from panelcraft.plans import stages
-from panelcraft.session import scratch_folder
+from panelcraft.session import scratch_folder, side_by_side
 from panelcraft.sources import sinks
 
 # ------------------------------------------------------------------------------------ the four raw tables
@@ -203,7 +203,8 @@ def raw_tables(t):
     instead of repeating the joins."""
     folder = scratch_folder(t.spark, "raw")
     made = {"cases": raw_cases(t), "vaccinations": raw_vaccinations(t), "by_age": raw_by_age(t), "by_manufacturer": raw_by_manufacturer(t)}
-    return {name: sinks.write_stage(df, f"{folder}/{name}") for name, df in made.items()}
+    stored = side_by_side([lambda n=n, d=d: sinks.write_stage(d, f"{folder}/{n}") for n, d in made.items()])
+    return dict(zip(made, stored))
 
 
 def master_panel(t):

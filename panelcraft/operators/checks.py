@@ -39,12 +39,10 @@ def drop_incomplete(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def _validate(df: DataFrame, check_rows: bool) -> DataFrame:
-    if check_rows:
-        require_rows(df)
     named = standardize_columns(df)
     require_columns(named, "location", "date")
     dated = parse_dates(named)
-    return require_rows(dated, "table after date parsing") if check_rows else dated
+    return require_rows(dated, "the table or its part with valid dates") if check_rows else dated
 
 
 def validate_cases(df: DataFrame, check_rows: bool = True) -> DataFrame:
@@ -68,7 +66,5 @@ def validate_by_manufacturer(df: DataFrame, check_rows: bool = True) -> DataFram
 
 
 def _validate_side(df: DataFrame, check_rows: bool) -> DataFrame:
-    if check_rows:
-        require_rows(df)
-    named = standardize_columns(df)
+    named = require_rows(standardize_columns(df)) if check_rows else standardize_columns(df)
     return parse_dates(named) if "date" in named.columns else named

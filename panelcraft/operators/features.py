@@ -67,14 +67,16 @@ class FeatureBuilder:
     lag_rows: Sequence[int] = LAG_ROWS
     max_rows: int = MAX_ROWS
     start: Date | None = None
+    may_be_hot: bool = True
 
     def fit(self, df: DataFrame) -> FeatureBuilder:
-        self.start = first_date(df, self.key.date)
+        self.start, rows = df.agg(F.min(self.key.date), F.count(F.lit(1))).first()
+        self.may_be_hot = rows > self.max_rows
         return self
 
     def transform(self, df: DataFrame) -> DataFrame:
         features = expand_features(self.flows, df.columns, self.rolling_rows, self.lag_rows)
-        out = with_row_features(with_rates(df), self.key, features, max_rows=self.max_rows)
+        out = with_row_features(with_rates(df), self.key, features, max_rows=self.max_rows, check=self.may_be_hot)
         return with_interactions(with_calendar(out, self.start, self.key.date))
 
     def fit_transform(self, df: DataFrame) -> DataFrame:

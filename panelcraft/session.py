@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -50,3 +53,9 @@ def scratch_folder(spark: SparkSession, name: str) -> str:
     """A fresh folder for intermediate tables, inside the session's checkpoint folder."""
     ensure_checkpoint_dir(spark)
     return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+
+
+def side_by_side(steps: Sequence[Callable[[], Any]], at_once: int = 4) -> list:
+    """Submit independent jobs together, so that the tail of one does not leave executors idle."""
+    with ThreadPoolExecutor(max_workers=at_once) as pool:
+        return [f.result() for f in [pool.submit(step) for step in steps]]
