@@ -36,6 +36,7 @@ def roll_up_and_join(left: DataFrame, detail: DataFrame, prefix: str, keys: Sequ
     """Sum a finer-grained table to the keys, then left join it; unchanged when keys or measures are absent."""
     if any(k not in detail.columns for k in keys) or not numeric_columns(detail, exclude=keys):
         return left
+    # null-safe like the join before it: the wide left side then keeps its partitioning and moves only once
     return left_join_on_keys(left, sum_by_key(detail, keys, prefix=prefix), keys)
 
 

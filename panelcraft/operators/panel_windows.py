@@ -29,6 +29,10 @@ class PanelKey:
     date: str = "date"
     tiebreak: tuple[str, ...] = ()
 
+    def rank(self) -> Column:
+        """The order as one value. A bare date keeps ``max_by`` in a hash aggregate; a struct cannot."""
+        return F.struct(self.date, *self.tiebreak) if self.tiebreak else F.col(self.date)
+
     def order(self) -> list[Column]:
         return [F.col(c).asc_nulls_last() for c in (self.date, *self.tiebreak)]
 
@@ -139,7 +143,7 @@ def forward_fill(
         return df.select(*[new[c].alias(c) if c in new else F.col(c) for c in df.columns])
 
     placed = _chunks(df, key, max_rows, 0)
-    order = F.struct(*[F.col(c) for c in (key.date, *key.tiebreak)])
+    order = key.rank()
     tails = placed.where(known).groupBy(key.entity, "_chunk").agg(
         *[F.max_by(c, F.when(F.col(c).isNotNull(), order)).alias(f"_tail_{c}") for c in columns]
     )
@@ -221,7 +225,7 @@ def _split_cells(df: DataFrame, key: PanelKey, max_rows: int) -> DataFrame:
 
 def latest_per_entity(df: DataFrame, key: PanelKey, columns: Sequence[str]) -> DataFrame:
     """Last present value of every column, each column on its own; map-side combined, so no hot entity."""
-    order = F.struct(*[F.col(c) for c in (key.date, *key.tiebreak)])
+    order = key.rank()
     return df.where(F.col(key.entity).isNotNull()).groupBy(key.entity).agg(
         *[F.max_by(c, F.when(F.col(c).isNotNull(), order)).alias(c) for c in columns]
     )

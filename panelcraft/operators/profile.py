@@ -8,7 +8,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 
 from pyspark.ml.stat import KolmogorovSmirnovTest
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -81,9 +81,9 @@ def overview(df: DataFrame, entity: str, date: str) -> DataFrame:
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:
     """Count and percentage per present value; rows without a value stay in the denominator."""
-    grouped = df.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
-    total = F.sum("n").over(Window.partitionBy())  # one row per distinct value, after the aggregate
-    return grouped.select(column, "n", _percent(F.col("n"), total).alias("pct")).where(F.col(column).isNotNull())
+    grouped = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
+    total = df.agg(F.count(F.lit(1)).alias("__total"))  # one row
+    return grouped.crossJoin(total).select(column, "n", _percent(F.col("n"), F.col("__total")).alias("pct"))
 
 
 def top_values(df: DataFrame, column: str, k: int = 10) -> DataFrame:

@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 SMALL_ROWS = 4_000_000
 SORTABLE_ROWS = 200_000
-MAX_RANKS = 200_000
+MAX_RANKS = 20_000
 GRID = 64
 
 

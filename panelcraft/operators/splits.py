@@ -23,7 +23,7 @@ from panelcraft.operators.quantiles import quantile_table
 
 SEED = 42
 TEST_SHARE = 0.2
-MAX_CLASSES = 1_000
+MAX_CLASSES = 200
 RANKED_ROWS = 50_000
 PREFIX = 3
 CLASSIFICATION_EXCLUDED = ("preparedness_level", "preparedness_score", "healthcare_capacity_score")
