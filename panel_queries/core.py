@@ -543,9 +543,9 @@ q AS (SELECT QUANTILE_CONT(gdp_per_capita, 0.5) AS m, QUANTILE_CONT(new_cases, 0
              QUANTILE_CONT(new_deaths, 0.25) AS b1, QUANTILE_CONT(new_deaths, 0.75) AS b3 FROM f)
 SELECT row_id, location, CAST(date AS VARCHAR) AS date,
        ROUND(CASE WHEN new_cases < a1 - 0.1 * (a3 - a1) THEN a1 - 0.1 * (a3 - a1)
-                  WHEN new_cases > a3 + 0.1 * (a3 - a1) THEN a3 + 0.1 * (a3 - a1) ELSE new_cases END, 4) AS new_cases,
+                  WHEN new_cases > a3 + 0.1 * (a3 - a1) THEN a3 + 0.1 * (a3 - a1) ELSE new_cases END, 7) AS new_cases,
        ROUND(CASE WHEN new_deaths < b1 - 0.1 * (b3 - b1) THEN b1 - 0.1 * (b3 - b1)
-                  WHEN new_deaths > b3 + 0.1 * (b3 - b1) THEN b3 + 0.1 * (b3 - b1) ELSE new_deaths END, 4) AS new_deaths,
+                  WHEN new_deaths > b3 + 0.1 * (b3 - b1) THEN b3 + 0.1 * (b3 - b1) ELSE new_deaths END, 7) AS new_deaths,
        ROUND(COALESCE(gdp_per_capita, m), 4) AS gdp_per_capita, population, people_vaccinated
 FROM f, q"""
 def _clean_cases(t, **options):
@@ -553,7 +553,7 @@ def _clean_cases(t, **options):
     cleaner = clean.cases_cleaner(key=ORDERS_KEY, clip_factor=0.1, **options)
     out = cleaner.fit_transform(detail_rows(t))
     return out.select(
-        "row_id", "location", text_date(), r("new_cases", 4), r("new_deaths", 4), r("gdp_per_capita", 4), "population", "people_vaccinated"
+        "row_id", "location", text_date(), r("new_cases", 7), r("new_deaths", 7), r("gdp_per_capita", 4), "population", "people_vaccinated"
     )
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -59,14 +59,16 @@ def attach_labels_by_position(df: DataFrame, labels: DataFrame, order: Sequence[
     return left.join(right, "__i", "left").drop("__i")
 
 
-def with_row_index(df: DataFrame, order: Sequence[str], name: str = "row_index") -> DataFrame:
-    """0-based position in a total order, stored once so that it cannot change.
+def with_row_index(
+    df: DataFrame, order: Sequence[str], name: str = "row_index", store: Callable[[DataFrame], DataFrame] = cut_lineage
+) -> DataFrame:
+    """0-based position in a total order, stored once (``store``) so that it cannot change.
 
     A global sort spreads the rows over range partitions; positions inside each are shifted by the row counts
     of the partitions before it, a table with one row per partition. Rows move once.
     """
     bits = 33  # the generated id is (partition << 33) + position in the partition
-    numbered = cut_lineage(df.orderBy(*order).withColumn("__id", F.monotonically_increasing_id()))
+    numbered = store(df.orderBy(*order).withColumn("__id", F.monotonically_increasing_id()))
     part = F.shiftrightunsigned("__id", bits)
     before = Window.partitionBy().orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = numbered.groupBy(part.alias("__part")).count().select(

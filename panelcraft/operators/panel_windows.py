@@ -23,7 +23,8 @@ SPLITS = 256
 
 @dataclass(frozen=True)
 class PanelKey:
-    """Who and when; ``tiebreak`` makes the order total when (entity, date) repeats."""
+    """Who and when. Name a ``tiebreak`` when (entity, date) repeats: without one the order of equal dates, and
+    what row frames see there, is up to the shuffle."""
 
     entity: str = "location"
     date: str = "date"
