@@ -132,6 +132,18 @@ def _(t):
     return checks.parse_dates(raw_dates(t)).withColumn("date", text_date())
 
 
+@query(
+    "p3_guards",
+    f"SELECT COUNT(*) AS n_rows, COUNT(DISTINCT date) AS n_dates FROM ({RAW_DATES_SQL}) WHERE TRY_CAST(date AS DATE) IS NOT NULL",
+)
+def _(t):
+    """Required columns and rows are checked before and after the date filter; then what is left is counted."""
+    raw = names.require_rows(raw_dates(t))
+    names.require_columns(raw, "o_orderkey", "date")
+    kept = names.require_rows(checks.parse_dates(raw), "table after date parsing")
+    return kept.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("date").alias("n_dates"))
+
+
 @query(
     "p5_clamp_negatives",
     """SELECT c_custkey, c_name, c_nationkey, GREATEST(c_acctbal, 0) AS c_acctbal, c_mktsegment FROM customer""",

@@ -215,7 +215,12 @@ def _(t):
     return t.spark.read.schema("model string, metric string, value double").json(path)
 
 
-@query("s4_model_persistence")
+@query(
+    "s4_model_persistence",
+    """WITH s AS (SELECT (LEAST(o_totalprice / 450000, 1) + LEAST(GREATEST(c_acctbal / 10000, 0), 1)) / 2 AS s FROM orders JOIN customer ON o_custkey = c_custkey),
+            c AS (SELECT CASE WHEN s <= 0.4 THEN 'Low' WHEN s <= 0.7 THEN 'Medium' ELSE 'High' END AS level, COUNT(*) AS n FROM s GROUP BY 1)
+       SELECT SUM(FLOOR(0.2 * n + 0.5))::BIGINT AS n_rows, SUM(FLOOR(0.2 * n + 0.5))::BIGINT AS n_equal FROM c""",
+)
 def _(t):
     """Predictions of a forest before saving and after loading: the number of rows on which they agree."""
     model, test = _forest(t)

@@ -14,6 +14,7 @@ from panelcraft.operators.clean import null_counts
 from panelcraft.operators.panel_windows import PanelKey, latest_per_entity, strict_rolling_mean
 
 MAX_CORRELATED = 15
+WIDE_PAIRS = 16
 
 
 def daily_totals(df: DataFrame, columns: Sequence[str], date: str = "date") -> DataFrame:
@@ -94,8 +95,11 @@ def correlation_columns(df: DataFrame, above: float = 0.3, limit: int = MAX_CORR
 
 
 def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Upper triangle ``var1, var2, r`` over pairwise-complete rows: one aggregate for all pairs."""
+    """Upper triangle ``var1, var2, r`` over pairwise-complete rows: one pass for all pairs."""
     pairs = list(combinations(list(columns), 2))
+    if len(pairs) > WIDE_PAIRS:  # too many side by side would leave generated code: unfold, then combine per pair
+        values = F.array(*[F.struct(F.lit(a).alias("var1"), F.lit(b).alias("var2"), F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y")) for a, b in pairs])
+        return df.select(F.inline(values)).groupBy("var1", "var2").agg(F.corr("x", "y").alias("r"))
     wide = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
     cells = [
         F.struct(F.lit(a).alias("var1"), F.lit(b).alias("var2"), F.col(f"r{i}").alias("r")) for i, (a, b) in enumerate(pairs)

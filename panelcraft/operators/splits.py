@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelcraft.functions.columns import numeric_columns, pick_target
+from panelcraft.functions.vectors import packed
 from panelcraft.operators.checks import drop_incomplete, finite_measures
 from panelcraft.operators.clean import impute, median_impute
 from panelcraft.operators.integrate import with_row_index
@@ -152,6 +153,14 @@ def label_decoder(indexer: StringIndexerModel, column: str = "prediction", outpu
     return IndexToString(inputCol=column, outputCol=output, labels=list(indexer.labels))
 
 
+def position_moments(df: DataFrame, values: Column) -> dict[int, tuple[float | None, float | None]]:
+    """``{position: (mean, population std)}`` of an array: unfolded and combined per position before the shuffle,
+    which stays in generated code for any width."""
+    long = df.select(F.posexplode(values).alias("position", "x"))
+    rows = long.groupBy("position").agg(F.avg("x").alias("m"), F.stddev_pop("x").alias("s")).collect()
+    return {r["position"]: (r["m"], r["s"]) for r in rows}
+
+
 @dataclass
 class Standardizer:
     """Centre and divide by the population standard deviation; a constant column becomes 0."""
@@ -162,12 +171,9 @@ class Standardizer:
 
     def fit(self, df: DataFrame) -> Standardizer:
         self.columns = list(self.columns) or numeric_columns(df)
-        aggs = []
-        for i, c in enumerate(self.columns):
-            aggs += [F.avg(c).alias(f"m{i}"), F.stddev_pop(c).alias(f"s{i}")]
-        row = df.agg(*aggs).first()
-        self.mean = {c: row[f"m{i}"] for i, c in enumerate(self.columns)}
-        self.std = {c: row[f"s{i}"] for i, c in enumerate(self.columns)}
+        found = position_moments(df, packed(self.columns))
+        self.mean = {c: found.get(i, (None, None))[0] for i, c in enumerate(self.columns)}
+        self.std = {c: found.get(i, (None, None))[1] for i, c in enumerate(self.columns)}
         return self
 
     def transform(self, df: DataFrame) -> DataFrame:
@@ -185,13 +191,9 @@ class Standardizer:
 
 def standardize_array(df: DataFrame, column: str, width: int) -> DataFrame:
     """The same for an array column of fixed width, kept as an array."""
-    aggs = []
-    for i in range(width):
-        x = F.col(column)[i].cast("double")
-        aggs += [F.avg(x).alias(f"m{i}"), F.stddev_pop(x).alias(f"s{i}")]
-    row = df.agg(*aggs).first()
-    mean = F.array(*[F.lit(row[f"m{i}"]) for i in range(width)])
-    scale = F.array(*[F.lit(1.0 / row[f"s{i}"] if row[f"s{i}"] else 0.0) for i in range(width)])
+    found = position_moments(df, F.col(column).cast("array<double>"))
+    mean = F.array(*[F.lit(found[i][0]) for i in range(width)])
+    scale = F.array(*[F.lit(1.0 / found[i][1] if found[i][1] else 0.0) for i in range(width)])
     centred = F.zip_with(F.col(column).cast("array<double>"), mean, lambda x, m: x - m)
     return df.withColumn(column, F.zip_with(centred, scale, lambda x, s: x * s))
 
