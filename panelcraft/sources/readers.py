@@ -16,17 +16,28 @@ MISSING_TOKENS = (
 
 
 def read_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructType) -> DataFrame:
-    """Header CSV under an explicit schema; missing tokens and unreadable numbers become NULL.
+    """Header CSV; missing tokens and unreadable numbers become NULL.
 
-    Numbers are read as text and cast, because a single ``nullValue`` cannot cover all the tokens.
+    Columns are matched to ``schema`` by name, in any order. A column the schema does not know is double when
+    all its values are numbers, else text: one aggregate over the file, run only when there is such a column.
     """
-    as_text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
+    header = spark.read.option("header", True).csv(path).columns
+    as_text = T.StructType([T.StructField(n, T.StringType()) for n in header])
     raw = spark.read.schema(as_text).option("header", True).option("mode", "PERMISSIVE").csv(path)
-    columns = []
-    for f in schema.fields:
-        value = F.when(~F.col(f.name).isin(*MISSING_TOKENS), F.col(f.name))
-        columns.append((value if isinstance(f.dataType, T.StringType) else value.try_cast(f.dataType)).alias(f.name))
-    return raw.select(*columns)
+    present = raw.select(*[F.when(~F.col(f"`{n}`").isin(*MISSING_TOKENS), F.col(f"`{n}`")).alias(n) for n in header])
+    known = {f.name: f.dataType for f in schema.fields}
+    types = {**_inferred(present, [n for n in header if n not in known]), **known}
+    return present.select(
+        *[F.col(f"`{n}`") if isinstance(types[n], T.StringType) else F.col(f"`{n}`").try_cast(types[n]).alias(n) for n in header]
+    )
+
+
+def _inferred(df: DataFrame, columns: Sequence[str]) -> dict[str, T.DataType]:
+    if not columns:
+        return {}
+    text_only = [F.count_if(F.col(f"`{n}`").isNotNull() & F.col(f"`{n}`").try_cast("double").isNull()).alias(n) for n in columns]
+    row = df.agg(*text_only).first()
+    return {n: T.StringType() if row[n] else T.DoubleType() for n in columns}
 
 
 def source_exists(spark: SparkSession, path: str) -> bool:

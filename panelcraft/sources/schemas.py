@@ -1,10 +1,9 @@
-"""Explicit schemas of the four raw tables: no inference pass over the files."""
+"""Types of the raw columns that are known by name."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 # Column names of the raw tables that the operators know by name.
@@ -30,16 +29,3 @@ BY_AGE = _table(
 )
 BY_MANUFACTURER = _table(("country", "date", "vaccine"), ("total_vaccinations",))
 SCHEMAS = dict(zip(RAW_TABLES, (CASES, VACCINATIONS, BY_AGE, BY_MANUFACTURER)))
-
-
-def header_schema(spark: SparkSession, path: str, known: T.StructType, text: Sequence[str] = ()) -> T.StructType:
-    """Schema for a file with extra columns: known names keep their type, named texts are strings, the rest
-    double. Reads the header line only."""
-    first = spark.read.option("header", True).option("inferSchema", False).csv(path)
-    types = {f.name: f.dataType for f in known.fields}
-    types.update({n: T.StringType() for n in text})
-    return T.StructType([T.StructField(n, types.get(n, T.DoubleType())) for n in first.columns])
-
-
-def same_columns(df: DataFrame, schema: T.StructType) -> bool:
-    return [(f.name, f.dataType) for f in df.schema] == [(f.name, f.dataType) for f in schema]

@@ -176,6 +176,11 @@ def test_csv_tokens(spark, tmp_path):
     schema = "country string, date string, x double"
     df = readers.read_csv(spark, str(path), spark.createDataFrame([], schema).schema)
     assert values(df, "country", "x") == [("A", None), (None, None), ("B", 1.5)]
+    wide = tmp_path / "wide.csv"
+    wide.write_text("unit,x,extra,country\nt,1,2.5,A\nu,NA,,B\n")
+    got = readers.read_csv(spark, str(wide), df.schema)
+    assert got.dtypes == [("unit", "string"), ("x", "double"), ("extra", "double"), ("country", "string")]
+    assert values(got, "country", "x", "extra") == [("A", 1.0, 2.5), ("B", None, None)]
     assert readers.missing_sources(spark, {"a": str(path), "b": str(tmp_path / "none.csv")}) == ["b"]
     with pytest.raises(FileNotFoundError):
         readers.require_sources(spark, {"b": str(tmp_path / "none.csv")})
