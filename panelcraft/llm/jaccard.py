@@ -1,7 +1,7 @@
 """Joins documents whose sets of word shingles overlap: prefixes of token combinations.
 
-A shingle is a 64-bit hash of its words; within one document or one pair of documents a false match is beyond
-reach. Tokens are ordered by the number of sets that hold them, so a prefix holds the rare ones. A document x of n
+A shingle is a 48-bit hash of its words; within one document or one pair of documents a false match is beyond
+reach (one in a million for two texts of 20,000 words). Tokens are ordered by the number of sets that hold them, so a prefix holds the rare ones. A document x of n
 shingles may miss ``n - ceil(t n)`` of them in a partner. Rare tokens index alone; frequent ones only in
 combinations of two, very frequent ones of three, inside bins of the token space so that their number stays linear.
 A combination class with m tokens in the prefix survives m - k errors, so the prefix is extended until, summed over
@@ -26,6 +26,7 @@ from panelcraft.llm.common import WordHashes, linked_groups, rolling, scrambled,
 from panelcraft.session import cut_lineage
 
 WORDS = 5
+BITS = 48
 #: Two sets are linked when 100 * intersection >= PERCENT * union.
 PERCENT = 75
 #: Tokens held by more sets than this index in pairs, in triples.
@@ -34,6 +35,7 @@ FREQUENT, VERY_FREQUENT = 32, 1_024
 HEAVY = 32
 _ALL = 65_535  # marks such a count
 _STAR_ROUNDS = 3
+_FEW_PAIRS = 100_000
 
 _A = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
 _words = WordHashes()  # of this worker process
@@ -42,17 +44,19 @@ _words = WordHashes()  # of this worker process
 def shingles(text: str | None, words: int = WORDS) -> np.ndarray:
     """Sorted distinct hashes of the runs of ``words`` words, A-Z in lower case; shorter texts are one run."""
     ws = (text or "").translate(_A).encode().split() if text and not text.isascii() else (text or "").encode().lower().split()
-    return np.unique(rolling(_words.of(ws), min(words, max(1, len(ws)))))
+    return np.unique(rolling(_words.of(ws), min(words, max(1, len(ws)))) >> np.uint64(64 - BITS))
 
 
 def _pack(tokens: np.ndarray) -> bytes:
     """Sorted numbers as byte planes of their differences: the leading planes are zeros, which shuffles compress."""
-    return np.diff(tokens, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T.tobytes()
+    return np.diff(tokens, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8)[:, : BITS // 8].T.tobytes()
 
 
 def _unpack(data: bytes) -> np.ndarray:
-    planes = np.frombuffer(data, np.uint8).reshape(8, -1).T
-    return np.cumsum(np.ascontiguousarray(planes).view(np.uint64).ravel(), dtype=np.uint64)
+    planes = np.frombuffer(data, np.uint8).reshape(BITS // 8, -1).T
+    whole = np.zeros((len(planes), 8), np.uint8)
+    whole[:, : BITS // 8] = planes
+    return np.cumsum(whole.view(np.uint64).ravel(), dtype=np.uint64)
 
 
 _BLOBS = "part int, chunk long, tokens binary, sets binary, counts binary, head binary"
@@ -60,7 +64,7 @@ _BLOBS = "part int, chunk long, tokens binary, sets binary, counts binary, head
 
 def _spread(ranges: int, words: int):
     """Tokens of each batch of documents, cut by token range, with the batch's own number of each set."""
-    width = np.uint64((1 << 64) // ranges + 1)
+    width = np.uint64((1 << BITS) // ranges + 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -178,7 +182,7 @@ def rolling_rows(picks: np.ndarray) -> np.ndarray:
     return total
 
 
-_FOUND = "doc long, n long, same long, content long, tokens binary, signs array<long>"
+_FOUND = "doc long, n long, same long, content long, tokens binary, signs array<long>"  # without content: a document, else a set
 
 
 def _indexed(percent: int):
@@ -205,7 +209,7 @@ def _indexed(percent: int):
             spare = size - -(-size * percent // 100)
             if size - (b - a) <= spare:
                 signs = signatures(t[a:b], held[a:b], size, spare)
-                rows.append((int(first[s]), size, int(first[s]), int(signed(content[s : s + 1])[0]), np.sort(t[a:b]).tobytes(), signed(signs).tolist()))
+                rows.append((int(first[s]), size, int(first[s]), int(signed(content[s : s + 1])[0]), _pack(np.sort(t[a:b])), signed(signs).tolist()))
         out = pd.DataFrame(rows, columns=["doc", "n", "same", "content", "tokens", "signs"])
         return out.astype({"doc": "Int64", "n": "Int64", "same": "Int64", "content": "Int64"})
 
@@ -216,8 +220,8 @@ def _alike(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             keep = []
-            for x, y, n, m in zip(b.column("tx"), b.column("ty"), b.column("nx").to_pylist(), b.column("ny").to_pylist()):
-                both = len(np.intersect1d(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64), assume_unique=True))
+            for x, y, n, m in zip(b.column("tu"), b.column("tv"), b.column("nu").to_pylist(), b.column("nv").to_pylist()):
+                both = len(np.intersect1d(_unpack(x.as_buffer()), _unpack(y.as_buffer()), assume_unique=True))
                 keep.append(100 * both >= percent * (n + m - both))
             yield b.select(["u", "v"]).filter(pa.array(keep, pa.bool_()))
 
@@ -225,44 +229,47 @@ def _alike(percent: int):
 
 
 def _links(sets: DataFrame, percent: int) -> DataFrame:
-    """``u, v``: links that connect whatever similar sets share a signature.
+    """``u, v``: links between the contents of ``content, n, tokens, signs`` that connect whatever is similar.
 
     A signature that many sets share is not expanded into pairs. Its sets are compared with one of them, groups are
     formed, and only sets that are still in different groups meet again. After a few such rounds what is left in
     different groups is compared in full, so no link between groups is lost.
     """
-    ident = F.struct("doc", "content")
-    bodies = sets.select(ident.alias("s"), "n", "tokens")
-    signs = sets.select(F.explode("signs").alias("sign"), ident.alias("s"), "n")
-    several = signs.groupBy("sign").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("sign")
-    rows = cut_lineage(signs.join(several, "sign").withColumn("group", F.col("s.doc")))
+    bodies = sets.select("content", "n", "tokens")
+    rows = sets.select(F.explode("signs").alias("sign"), "content", "n", F.col("content").alias("group"))
     fits = lambda n, m: (F.least(n, m) * 100 >= F.greatest(n, m) * percent)
 
     def checked(pairs: DataFrame) -> DataFrame:
-        pairs = pairs.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
-        side = lambda s: bodies.select(F.col("s").alias(s), F.col("n").alias(f"n{s}"), F.col("tokens").alias(f"t{s}"))
-        met = pairs.join(side("x"), "x").join(side("y"), "y").select(F.col("x.doc").alias("u"), F.col("y.doc").alias("v"), "nx", "ny", "tx", "ty")
-        return cut_lineage(met.mapInArrow(_alike(percent), "u long, v long").where("u <> v").distinct())
+        pairs = cut_lineage(pairs.select(F.least("x", "y").alias("u"), F.greatest("x", "y").alias("v")).distinct())
+        few = pairs.count() <= _FEW_PAIRS  # then the pairs go to the bodies, else both move
+
+        def side(s: str) -> DataFrame:
+            found = bodies.select(F.col("content").alias(s), F.col("n").alias(f"n{s}"), F.col("tokens").alias(f"t{s}"))
+            return (F.broadcast(pairs) if few else pairs).join(found, s)
+
+        met = side("u").join(side("v"), ["u", "v"])
+        return cut_lineage(met.mapInArrow(_alike(percent), "u long, v long"))
 
     edges = None
     for turn in range(_STAR_ROUNDS + 1):
-        open_ = rows.groupBy("sign").agg(F.min("group").alias("g0"), F.max("group").alias("g1"), F.min(F.struct(F.xxhash64("s", F.lit(turn)).alias("h"), "s", "n", "group")).alias("c"))
-        open_ = open_.where("g0 <> g1")
+        pick = F.min(F.struct(F.xxhash64("content", F.lit(turn)).alias("h"), "content", "n", "group")).alias("c")
+        open_ = rows.groupBy("sign").agg(F.min("group").alias("g0"), F.max("group").alias("g1"), pick).where("g0 <> g1").drop("g0", "g1")
         if turn < _STAR_ROUNDS:
-            met = rows.join(open_.select("sign", "c"), "sign").where((F.col("group") != F.col("c.group")) & fits(F.col("n"), F.col("c.n")))
-            found = checked(met.select(F.col("s").alias("x"), F.col("c.s").alias("y")))
+            met = rows.join(open_, "sign").where((F.col("group") != F.col("c.group")) & fits(F.col("n"), F.col("c.n")))
+            found = checked(met.select(F.col("content").alias("x"), F.col("c.content").alias("y")))
         else:
             left = rows.join(open_.select("sign"), "sign")
-            there = left.select("sign", F.col("s").alias("y"), F.col("n").alias("m"), F.col("group").alias("other"))
+            there = left.select("sign", F.col("content").alias("y"), F.col("n").alias("m"), F.col("group").alias("other"))
             met = left.join(there, "sign").where((F.col("group") < F.col("other")) & fits(F.col("n"), F.col("m")))
-            found = checked(met.select(F.col("s").alias("x"), "y"))
+            found = checked(met.select(F.col("content").alias("x"), "y"))
         edges = found if edges is None else edges.unionByName(found)
         if turn == _STAR_ROUNDS:
             break
-        groups = linked_groups(edges)
-        rows = rows.drop("group").withColumn("node", F.col("s.doc")).join(groups, "node", "left")
-        rows = cut_lineage(rows.select("sign", "s", "n", F.coalesce("component", "node").alias("group")))
-        if not rows.groupBy("sign").agg(F.min("group").alias("g0"), F.max("group").alias("g1")).where("g0 <> g1").limit(1).count():
+        groups = linked_groups(edges).withColumnRenamed("node", "content")
+        grouped = rows.drop("group").join(groups, "content", "left").select("sign", "content", "n", F.coalesce("component", "content").alias("group"))
+        open_ = grouped.groupBy("sign").agg(F.min("group").alias("g0"), F.max("group").alias("g1")).where("g0 <> g1").select("sign")
+        rows = cut_lineage(grouped.join(open_, "sign"))
+        if rows.isEmpty():
             break
     return edges
 
@@ -283,11 +290,16 @@ def join_similar(docs: DataFrame, key: str = "doc_id", text: str = "text", words
     blobs = docs.select(F.col(key).cast("long"), F.col(text).cast("string")).mapInArrow(_spread(ranges, words), _BLOBS)
     known = blobs.groupBy("part").applyInPandas(_counted, _BLOBS)
     found = cut_lineage(known.groupBy("chunk").applyInPandas(_indexed(percent), _FOUND))
-    edges = _links(found.where("content IS NOT NULL"), percent)
+    # sets of equal content are one from here on, named by it
+    merged = found.where("content IS NOT NULL").groupBy("content").agg(F.first("n").alias("n"), F.first("tokens").alias("tokens"), F.first("signs").alias("signs"), F.min("doc").alias("doc"))
+    merged = cut_lineage(merged)
+    edges = _links(merged, percent)
+    named = merged.select("content", "doc")
+    near = edges.join(named.toDF("u", "a"), "u").join(named.toDF("v", "b"), "v").select(F.col("a").alias("u"), F.col("b").alias("v"))
+    equal = found.where("content IS NOT NULL").select("content", F.col("doc").alias("u")).join(named, "content").select("u", F.col("doc").alias("v"))
     rows = found.where("content IS NULL").select("doc", "n", "same")
-    # copies inside a batch are links as well
-    copies = rows.where("doc <> same").select(F.col("doc").alias("u"), F.col("same").alias("v")).distinct()
-    groups = linked_groups(edges.unionByName(copies))
+    inside = rows.select(F.col("doc").alias("u"), F.col("same").alias("v"))  # copies inside a batch
+    groups = linked_groups(near.unionByName(equal).unionByName(inside).where("u <> v").distinct())
     return rows.join(groups.withColumnRenamed("node", "doc"), "doc", "left").select(
         F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce("component", "doc").alias("component_id")
     )
