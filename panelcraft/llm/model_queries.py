@@ -9,6 +9,7 @@ from panelcraft.llm.base_queries import documents
 from panelcraft.llm.bytes_dedup import remove_repeated_bytes
 from panelcraft.llm.classifier import classify, fit_classifier, fold
 from panelcraft.llm.jaccard import join_similar
+from panelcraft.llm.pieces import decode, encode, load_model
 from panelcraft.llm.vectors import link_embeddings
 from panelcraft.llm.words_dedup import remove_repeated_words
 
@@ -46,7 +47,19 @@ def op8_quality(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("doc_id", (fold("doc_id") == 0).alias("held_out"), "score", (F.col("score") >= KEEP_FROM).cast("int").alias("predicted"))
 
 
+def coded(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``ids, n_pieces`` and ``same``, whether decoding gives the text back."""
+    model = load_model()
+    found = encode(docs, "text", model)
+    return found.withColumns({"n_pieces": F.size("ids").cast("long"), "same": decode("ids", model).eqNullSafe(F.col("text"))})
+
+
+def op9_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    return coded(documents(spark, folder)).select("doc_id", "n_pieces", "ids", "same")
+
+
 QUERIES = {
     "op2_embeddings": op2_embeddings, "op3_substrings": op3_substrings, "op4_jaccard": op4_jaccard, "op7_passages": op7_passages, "op8_quality": op8_quality,
+    "op9_pieces": op9_pieces,
 }
 ORACLES: dict[str, str] = {}
