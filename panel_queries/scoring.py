@@ -493,7 +493,7 @@ def _(t):
 
 @query("a11_contrast_matrix", f"WITH {_WIDE_CONTRAST} SELECT cluster, feature, z FROM z WHERE position < 20")
 def _(t):
-    return patterns.contrast_matrix(_wide_vectors(t), "cluster_id").select("cluster", "feature", r("z"))
+    return patterns.contrast_matrix(_wide_vectors(t), "cluster_id", width=20).select("cluster", "feature", r("z"))
 
 
 @query("q5_cluster_distribution", "SELECT label, COUNT(*) AS n, ROUND(COUNT(*) * 100.0 / (SELECT COUNT(*) FROM embeddings), 6)::DOUBLE AS pct FROM embeddings GROUP BY label")

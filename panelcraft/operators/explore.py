@@ -13,7 +13,6 @@ from panelcraft.functions.columns import numeric_columns
 from panelcraft.operators.clean import null_counts
 from panelcraft.operators.panel_windows import PanelKey, latest_per_entity, strict_rolling_mean
 
-MAX_CORRELATED = 15
 WIDE_PAIRS = 16
 
 
@@ -86,8 +85,8 @@ def entity_counts(parts: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
     return reduce(DataFrame.unionByName, counted)
 
 
-def correlation_columns(df: DataFrame, above: float = 0.3, limit: int = MAX_CORRELATED) -> list[str]:
-    """First numeric columns with more than ``above`` of their values present."""
+def correlation_columns(df: DataFrame, above: float = 0.3, limit: int | None = None) -> list[str]:
+    """Numeric columns with more than ``above`` of their values present; the first ``limit`` of them if given."""
     numeric = df.select(*numeric_columns(df))
     counts = null_counts(numeric)
     rows = counts[""]

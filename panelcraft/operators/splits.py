@@ -32,7 +32,8 @@ REGRESSION_EXCLUDED = ("location", "iso_code", "date", "code", "continent")
 
 
 def row_hash(key: str, seed: int = SEED) -> Column:
-    return F.md5(F.concat(F.col(key).cast("string"), F.lit(f"-{seed}")))
+    text = F.coalesce(F.col(key).cast("string"), F.lit(""))  # a row without a key is dealt out like the others
+    return F.md5(F.concat(text, F.lit(f"-{seed}")))
 
 
 def hash_thresholds(
@@ -103,8 +104,11 @@ def _threshold_column(cuts: dict[tuple, str], share: float, label: str | None) -
         return F.lit(next(iter(own.values()), ""))
     if not own:
         return F.lit("")
+    missing = F.lit(own.pop(None, ""))  # rows without a class are a class of their own
+    if not own:
+        return missing
     pairs = [F.lit(x) for item in own.items() for x in item]
-    return F.create_map(*pairs)[F.col(label)]
+    return F.when(F.col(label).isNull(), missing).otherwise(F.create_map(*pairs)[F.col(label)])
 
 
 def with_stratified_split(

@@ -18,12 +18,14 @@ MISSING_TOKENS = (
 def read_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructType) -> DataFrame:
     """Header CSV; missing tokens and unreadable numbers become NULL.
 
-    Columns are matched to ``schema`` by name, in any order. A column the schema does not know is double when
+    Columns are matched to ``schema`` by name, in any order. A quote inside a quoted field is doubled. Files that
+    are read together must have the same header; one that differs is an error, never read by position. A column the schema does not know is double when
     all its values are numbers, else text: one aggregate over the file, run only when there is such a column.
     """
-    header = spark.read.option("header", True).csv(path).columns
+    quoted = {"header": True, "quote": '"', "escape": '"'}
+    header = spark.read.options(**quoted).csv(path).columns
     as_text = T.StructType([T.StructField(n, T.StringType()) for n in header])
-    raw = spark.read.schema(as_text).option("header", True).option("mode", "PERMISSIVE").csv(path)
+    raw = spark.read.schema(as_text).options(**quoted, enforceSchema=False, mode="PERMISSIVE").csv(path)
     present = raw.select(*[F.when(~F.col(f"`{n}`").isin(*MISSING_TOKENS), F.col(f"`{n}`")).alias(n) for n in header])
     known = {f.name: f.dataType for f in schema.fields}
     types = {**_inferred(present, [n for n in header if n not in known]), **known}

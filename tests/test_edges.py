@@ -217,3 +217,25 @@ def test_feature_builder_adds_all_columns(spark):
     )
     out = features.FeatureBuilder().fit_transform(df)
     assert len(out.columns) - len(df.columns) == 31
+
+
+def test_csv_with_quotes_and_other_headers(spark, tmp_path):
+    from pyspark.sql import types as T
+
+    from panelcraft.sources.readers import read_csv
+
+    schema = T.StructType([T.StructField("name", T.StringType()), T.StructField("n", T.DoubleType())])
+    (tmp_path / "a.csv").write_text('name,n\n"say ""hi"", ok",5\n')
+    assert [tuple(r) for r in read_csv(spark, str(tmp_path / "a.csv"), schema).collect()] == [('say "hi", ok', 5.0)]
+    (tmp_path / "b.csv").write_text("n,name\n6,x\n")
+    with pytest.raises(Exception):  # never by position
+        read_csv(spark, str(tmp_path), schema).collect()
+
+
+def test_split_keeps_rows_without_class_or_key(spark):
+    from panelcraft.operators.splits import with_stratified_split
+
+    rows = [(i, None if i % 3 == 0 else "ab"[i % 2]) for i in range(60)] + [(None, "a")]
+    got = with_stratified_split(spark.createDataFrame(rows, "k long, c string"), "k", "c").groupBy("c", "is_test").count().collect()
+    assert sum(r["count"] for r in got) == 61 and all(r["is_test"] is not None for r in got)
+    assert {r["c"]: r["count"] for r in got if r["is_test"]}[None] == 4
