@@ -24,11 +24,16 @@ class SuffixOrder:
         self.body = body
         self.symbols[body] = values + len(pieces)
         self.symbols[self.ends] = np.arange(len(pieces))
-        rank = self.symbols
-        self.ranks, span, longest = [rank.astype(np.int32)], 1, int(lengths.max(initial=0)) + 1
+        rank, span, longest = self.symbols, 1, int(lengths.max(initial=0)) + 1
+        self.ranks = [rank]
         while span < longest:
-            key = rank * np.int64(rank.max() + 2)
+            base = int(rank.max()) + 2
+            key = rank * np.int64(base)
             key[: n - span] += rank[span:] + 1
+            if span == 1 and base**4 < 1 << 62:  # pairs tell each other apart as they are; only fours need sorting
+                rank, span = key, 2
+                self.ranks.append(key)
+                continue
             order = np.argsort(key, kind="stable")
             sorted_key = key[order]
             rank = np.empty(n, np.int64)
