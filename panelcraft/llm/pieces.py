@@ -1,13 +1,14 @@
 """SentencePiece encoding and decoding as a relational lattice.
 
-Words are cut from the text once; every distinct word becomes a lattice: its substrings of bounded length, joined
-to the piece table. The edges of a word are folded by a higher-order aggregate into its pieces, and texts are put
-together from the pieces of their words.
+Texts are cut at spaces; the distinct words are cut further wherever no piece crosses, into units. Every distinct unit
+becomes a lattice: its substrings of bounded length, joined to the piece table. The edges of a unit are folded by a
+higher-order aggregate into its pieces, and texts are put together from the pieces of their units.
 """
 
 from __future__ import annotations
 
 import heapq
+import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -17,16 +18,19 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelcraft.session import cut_lineage
+from panelcraft.session import scratch_folder
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"  # stands for a space
-#: Words whose pieces are sent to every task; the pieces of all other words are joined.
+#: Units whose pieces are sent to every task, at most; the pieces of all other units are joined.
 FREQUENT = 200_000
-#: Characters a lattice takes at most. The fold looks at all edges at every merge, so its work grows with the square of
-#: a unit; longer ones, which no natural text has, are merged with a heap (or, for unigram models, folded all the same).
-LONGEST_UNIT = 64
+#: Characters of a unit that the fold takes: its cuts are the bits of one long. Longer ones, which no natural text
+#: has, are merged with a heap (or, for unigram models, folded all the same).
+LONGEST_UNIT = 61
+#: Words and their units, or pieces, that a task remembers; beyond it starts afresh.
+REMEMBERED = 500_000
 _DIGITS = "0123456789ABCDEF"
+_SPACED = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 
 
 @dataclass(frozen=True)
@@ -52,6 +56,27 @@ class PieceModel:
         """Neighbouring characters that some piece holds; between any others a text can be cut."""
         return frozenset(p[i : i + 2] for p, _, _ in self.plain() for i in range(len(p) - 1))
 
+    def merges(self) -> tuple[list[tuple[str, int, int, int]], list[str]]:
+        """``(piece, id, rank, middle)`` of each piece that merging can make, and the pieces made out of turn.
+
+        While nothing crosses the ends of a piece, merging inside it goes as it would go in the piece alone. So a piece
+        only ever comes from the two parts that merging it alone ends with; ``middle`` is the length of the first one,
+        0 for characters. A piece is out of turn when a part of it has no better score than the piece itself.
+        """
+        rank = {p: (s, i) for p, i, s in self.plain()}
+        order = {s: k for k, s in enumerate(sorted({s for s, _ in rank.values()}, reverse=True), 1)}
+        found, late = [], []
+        for p, (s, i) in rank.items():
+            middle = 0
+            if len(p) > 1:
+                whole, middle = _merged(p, rank)
+                if len(whole) > 1:
+                    continue
+                if any(len(x) > 1 and rank[x][0] <= s for x in (p[:middle], p[middle:])):
+                    late.append(p)
+            found.append((p, i, order[s], middle))
+        return found, late
+
 
 def load_model(path: str = MODEL, kind: str = "bpe") -> PieceModel:
     import sentencepiece
@@ -61,67 +86,85 @@ def load_model(path: str = MODEL, kind: str = "bpe") -> PieceModel:
     return PieceModel(pieces, tuple(m.get_score(i) for i in range(len(pieces))), m.piece_to_id("<0x00>") if "<0x00>" in pieces else -1, m.unk_id(), kind)
 
 
+def spaced_words(text: str) -> list[str]:
+    """Words of a text, each without the one space before it (or before the text); further spaces stay at its start."""
+    if not text:
+        return []
+    if "  " not in text and MARK not in text:
+        return text.split(" ")
+    return [w[1:] for w in _SPACED.findall(MARK + text.replace(" ", MARK))]
+
+
 class Cutter(dict):
-    """White-space word -> the units that a lattice may take alone, remembered while they fit."""
+    """Word -> the units that a lattice may take alone, remembered while they fit. Together the units of a text are the
+    text with a space before it and spaces marked; marks never stand after other characters in a piece."""
 
     def __init__(self, meets: frozenset[str]):
         super().__init__()
         self.meets = meets
 
     def __missing__(self, word: str) -> tuple[str, ...]:
-        if len(self) >= 500_000:
+        if len(self) >= REMEMBERED:
             self.clear()
-        cuts = [0, *[i for i in range(1, len(word)) if word[i - 1 : i + 1] not in self.meets], len(word)]
-        found = self[word] = tuple(word[a:b] for a, b in zip(cuts, cuts[1:]))
+        meets, marked = self.meets, MARK + word
+        start, out = 0, []
+        for i in range(1, len(marked)):
+            if marked[i - 1 : i + 1] not in meets:
+                out.append(marked[start:i])
+                start = i
+        out.append(marked[start:])
+        found = self[word] = tuple(out)
         return found
 
-    def of(self, text: str) -> list[str]:
-        """Units of a text in order; together they are the text with a space before it and spaces marked."""
-        out: list[str] = []
-        if not text:
-            return out
-        start, spaced = 0, MARK + text.replace(" ", MARK)
-        # a word is a run of marks and what follows; marks never stand after other characters in a piece
-        n = len(spaced)
-        while start < n:
-            end = start
-            while end < n and spaced[end] == MARK:
-                end += 1
-            stop = spaced.find(MARK, end)
-            stop = n if stop < 0 else stop
-            out.extend(self[spaced[start:stop]])
-            start = stop
-        return out
+
+class Speller(dict):
+    """Word -> the ids of its units, 4 bytes each, from those sent to every task and those that came with the texts."""
+
+    def __init__(self, cutter: Cutter, sent: dict[str, bytes]):
+        super().__init__()
+        self.cutter, self.sent, self.extra = cutter, sent, {}
+
+    def __missing__(self, word: str) -> bytes:
+        if len(self) >= REMEMBERED:
+            self.clear()
+        found = self[word] = b"".join([self.sent[u] if u in self.sent else self.extra[u] for u in self.cutter[word]])
+        return found
 
 
 def _counts(model: PieceModel):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cutter = Cutter(model.meets())
         for b in batches:
-            n = Counter()
+            n, units = Counter(), Counter()
             for t in b.column(0):
-                n.update(cutter.of(t.as_py() or ""))
-            yield pa.RecordBatch.from_pydict({"unit": pa.array(list(n), pa.string()), "n": pa.array(list(n.values()), pa.int64())})
+                n.update(spaced_words(t.as_py()))
+            for w, k in n.items():
+                for u in cutter[w]:
+                    units[u] += k
+            yield pa.RecordBatch.from_pydict({"unit": pa.array(list(units), pa.string()), "n": pa.array(list(units.values()), pa.int64())})
 
     return run
 
 
-def lattice(units: DataFrame, model: PieceModel) -> DataFrame:
-    """``unit, edges``: for each distinct unit the substrings that are pieces, as (from, to, id, score).
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a written table in the shared folder: it survives lost executors and is smaller than a checkpoint."""
+    folder = scratch_folder(df.sparkSession, name)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+def lattice(units: DataFrame, table: DataFrame, longest: int) -> DataFrame:
+    """The columns of ``units`` and ``a, b`` with those of ``table``: each substring ``unit[a:b]`` that is a piece, and
+    each single character, with nulls if it is none.
 
     Substrings no longer than the longest piece are exploded where the unit lies and meet the piece table, which is of
-    the model's fixed size and so is broadcast. ``units`` is partitioned by unit, so grouping the edges moves nothing.
+    the model's fixed size and so is broadcast.
     """
-    spark = units.sparkSession
-    table = spark.createDataFrame(model.plain(), "piece string, id int, score double")
     size = F.length("unit")
-    starts = F.sequence(F.lit(1), size)
-    ends = lambda i: F.sequence(i, F.least(size, i + model.longest - 1))
-    spans = F.flatten(F.transform(starts, lambda i: F.transform(ends(i), lambda j: F.struct(i.alias("a"), j.alias("b")))))
-    cut = units.select("unit", F.explode(spans).alias("s")).select("unit", "s.a", "s.b", F.substring("unit", F.col("s.a"), F.col("s.b") - F.col("s.a") + 1).alias("piece"))
-    edges = cut.join(F.broadcast(table), "piece", "left").where("id IS NOT NULL OR a = b")
-    one = F.struct((F.col("a") - 1).alias("a"), F.col("b").alias("b"), F.col("id").alias("id"), F.col("score").alias("score"))
-    return edges.groupBy("unit").agg(F.sort_array(F.collect_list(one)).alias("edges"))
+    starts = units.select("*", F.explode(F.sequence(F.lit(0), size - 1)).alias("a"))
+    spans = starts.select("*", F.explode(F.sequence(F.col("a") + 1, F.least(size, F.col("a") + longest))).alias("b"))
+    cut = spans.withColumn("piece", F.substring("unit", F.col("a") + 1, F.col("b") - F.col("a")))
+    return cut.join(F.broadcast(table), "piece", "left").where("id IS NOT NULL OR b = a + 1").drop("piece")
 
 
 def _once(value: Column, f) -> Column:
@@ -129,27 +172,40 @@ def _once(value: Column, f) -> Column:
     return F.get(F.transform(F.array(value), f), F.lit(0))
 
 
-def merged_path(edges: str, size: Column) -> Column:
-    """Ends of the pieces of a unit, by merging: of all neighbouring segments that together are a piece the pair with
-    the best score, the leftmost on ties, becomes one, until none is left. ``next[i]`` is the end of the segment that
-    starts at i, 0 inside segments."""
-    start = F.sequence(F.lit(1), size)
+def _spelled(at: Column, model: PieceModel) -> Column:
+    """Ids of the character at ``at`` of the unit, which is no piece: its bytes, or unknown."""
+    if model.bytes_from < 0:
+        return F.array(F.lit(model.unknown))
+    raw = F.hex(F.encode(F.substring("unit", at + 1, F.lit(1)), "UTF-8"))
+    digit = lambda k: F.instr(F.lit(_DIGITS), F.substring(raw, k, F.lit(1))) - 1
+    return F.transform(F.sequence(F.lit(1), F.length(raw), F.lit(2)), lambda k: digit(k) * 16 + digit(k + 1) + model.bytes_from)
 
-    def step(after: Column, wide: Column) -> Column:
-        def better(best: Column, e: Column) -> Column:
-            middle = F.get(after, e["a"])
-            fits = (middle > 0) & (middle < e["b"]) & (F.get(after, middle) == e["b"])
-            return F.when((best["b"].isNull() | (e["score"] > best["score"])) & fits, e).otherwise(best)
 
-        nothing = F.lit(None).cast("struct<a:int,b:int,id:int,score:double>")
-        best = F.aggregate(wide, nothing, better)
-        merge = lambda b: F.when(
-            b["b"].isNotNull(), F.transform(after, lambda x, i: F.when(i == b["a"], b["b"]).when((i > b["a"]) & (i < b["b"]), F.lit(0)).otherwise(x))
-        ).otherwise(after)
-        return _once(best, merge)
+def merged_ids(units: DataFrame, model: PieceModel) -> DataFrame:
+    """The columns of ``units`` and ``ids`` by merging: of all neighbouring segments that together are a piece the pair
+    with the best score, the leftmost on ties, becomes one, until none is left.
 
-    fold = lambda wide: F.aggregate(F.sequence(F.lit(2), F.greatest(size, F.lit(2))), start, lambda after, _: step(after, wide))
-    return _once(F.filter(edges, lambda e: (e["b"] - e["a"] > 1) & e["id"].isNotNull()), fold)
+    The cuts of a unit are the bits of a long. A piece comes from one pair of parts only, so an edge applies when,
+    of the bits between its ends, exactly its ends and its middle are set; it then clears its middle. Parts have better
+    scores than what they make (units where they have not must not come here), so merges come in the order of scores
+    and one fold over the edges in that order makes them all.
+    """
+    table = units.sparkSession.createDataFrame(model.merges()[0], "piece string, id int, rank int, middle int")
+    bit = lambda at: F.expr(f"shiftleft(1L, {at})")
+    ends, middle = bit("a") + bit("b"), F.expr("CASE WHEN middle > 0 THEN shiftleft(1L, a + middle) ELSE 0L END")
+    # single characters come first and change nothing
+    order = F.expr("CASE WHEN b = a + 1 THEN a ELSE rank * 64 + a END")
+    edge = F.struct(order.alias("order"), ends.alias("ends"), middle.alias("middle"), (bit("b") + bit("b") - bit("a")).alias("between"), "id")
+    folded = lattice(units, table, model.longest).groupBy(*units.columns).agg(F.sort_array(F.collect_list(edge)).alias("edges"))
+    every = F.expr("shiftleft(1L, length(unit) + 1)") - 1
+    cuts = F.aggregate(
+        "edges", every, lambda c, e: F.when(c.bitwiseAND(e["between"]) == e["ends"] + e["middle"], c.bitwiseXOR(e["middle"])).otherwise(c)
+    )
+    left = _once(cuts, lambda c: F.filter("edges", lambda e: c.bitwiseAND(e["between"]) == e["ends"]))
+    path = F.sort_array(F.transform(left, lambda e: F.struct(e["ends"].alias("ends"), e["order"].alias("order"), e["id"].alias("id"))))
+    ids = _once(path, lambda p: F.when(F.forall(p, lambda e: e["id"].isNotNull()), F.transform(p, lambda e: e["id"])).otherwise(
+        F.flatten(F.transform(p, lambda e: F.when(e["id"].isNotNull(), F.array(e["id"])).otherwise(_spelled(e["order"], model))))))
+    return folded.select(*units.columns, ids.alias("ids"))
 
 
 def best_path(edges: str, size: Column, unknown_score: float) -> Column:
@@ -176,11 +232,11 @@ def best_path(edges: str, size: Column, unknown_score: float) -> Column:
     return _once(ways, walked)
 
 
-def heap_merged(unit: str, rank: dict[str, tuple[float, int]], model: PieceModel) -> list[int]:
-    """Pieces of a very long unit by the same merges as ``merged_path``, the best pair taken from a heap."""
+def _merged(unit: str, rank: dict[str, tuple[float, int]]) -> tuple[list[str], int]:
+    """Segments of one unit after all merges, best pair first, and the length of the left part of the last merge."""
     after = list(range(1, len(unit) + 1))  # end of the segment that starts here
     before = [-1, *range(len(unit) - 1)]
-    alive, heap = [True] * len(unit), []
+    alive, heap, last = [True] * len(unit), [], 0
 
     def offer(a: int) -> None:
         if a >= 0 and after[a] < len(unit):
@@ -193,58 +249,63 @@ def heap_merged(unit: str, rank: dict[str, tuple[float, int]], model: PieceModel
     while heap:
         _, a, middle, end = heapq.heappop(heap)
         if alive[a] and after[a] == middle and middle < len(unit) and alive[middle] and after[middle] == end:
-            after[a], alive[middle] = end, False
+            after[a], alive[middle], last = end, False, middle - a
             if end < len(unit):
                 before[end] = a
             offer(a)
             offer(before[a])
+    return [unit[a : after[a]] for a in range(len(unit)) if alive[a]], last
+
+
+def heap_ids(unit: str, rank: dict[str, tuple[float, int]], model: PieceModel) -> list[int]:
+    """Pieces of a unit by the same merges as ``merged_ids``, the best pair taken from a heap."""
     ids: list[int] = []
-    for a in range(len(unit)):
-        if alive[a]:
-            piece = unit[a : after[a]]
-            if piece in rank:
-                ids.append(rank[piece][1])
-            else:
-                ids.extend(model.bytes_from + x for x in piece.encode()) if model.bytes_from >= 0 else ids.append(model.unknown)
+    for piece in _merged(unit, rank)[0]:
+        if piece in rank:
+            ids.append(rank[piece][1])
+        else:
+            ids.extend(model.bytes_from + x for x in piece.encode()) if model.bytes_from >= 0 else ids.append(model.unknown)
     return ids
 
 
 def unit_ids(units: DataFrame, model: PieceModel) -> DataFrame:
-    """``unit, ids`` for each distinct ``unit``: its pieces; characters that are no piece as bytes, or unknown."""
+    """The columns of ``units`` (distinct ``unit``) and ``ids``: its pieces; characters that are no piece as bytes, or
+    unknown. Units longer than a long has bits, and those with pieces made out of turn (runs of spaces, as a rule), are
+    merged with a heap."""
     if model.kind != "bpe":
-        return _folded_ids(units, model)
+        return _viterbi_ids(units, model)
+    late = model.merges()[1]
 
     def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rank = {p: (s, i) for p, i, s in model.plain()}
         for b in batches:
-            yield pa.RecordBatch.from_pydict({"unit": b.column(0), "ids": pa.array([heap_merged(u, rank, model) for u in b.column(0).to_pylist()], pa.list_(pa.int32()))})
-
-    long = F.length("unit") > LONGEST_UNIT
-    return _folded_ids(units.where(~long), model).unionByName(units.where(long).select("unit").mapInArrow(merged, "unit string, ids array<int>"))
-
-
-def _folded_ids(units: DataFrame, model: PieceModel) -> DataFrame:
-    size = F.length("unit")
-    path = merged_path("edges", size) if model.kind == "bpe" else best_path("edges", size, min(model.scores) - 10)
-    folded = lattice(units, model)
+            ids = pa.array([heap_ids(u, rank, model) for u in b.column("unit").to_pylist()], pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_arrays([*b.columns, ids], names=[*b.schema.names, "ids"])
+
+    apart = F.length("unit") > LONGEST_UNIT
+    if late:  # a piece that holds another late piece needs no test of its own
+        least = [p for p in late if not any(q != p and q in p for q in late)]
+        apart = apart | F.col("unit").rlike("|".join(rf"\Q{p}\E" for p in least))
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in units.schema)
+    return merged_ids(units.where(~apart), model).unionByName(units.where(apart).mapInArrow(merged, f"{schema}, ids array<int>"))
+
+
+def _viterbi_ids(units: DataFrame, model: PieceModel) -> DataFrame:
+    """Ids on the best path of each unit."""
+    table = units.sparkSession.createDataFrame(model.plain(), "piece string, id int, score double")
+    edges = F.sort_array(F.collect_list(F.struct("a", "b", "id", "score"))).alias("edges")
+    folded = lattice(units, table, model.longest).groupBy(*units.columns).agg(edges)
+    path = best_path("edges", F.length("unit"), min(model.scores) - 10)
     chosen = _once(path, lambda after: F.filter("edges", lambda e: F.get(after, e["a"]) == e["b"]))
-
-    def spelled(e: Column) -> Column:
-        if model.bytes_from < 0:
-            return F.array(F.lit(model.unknown))
-        raw = F.hex(F.encode(F.substring("unit", e["a"] + 1, F.lit(1)), "UTF-8"))
-        digit = lambda k: F.instr(F.lit(_DIGITS), F.substring(raw, k, F.lit(1))) - 1
-        return F.transform(F.sequence(F.lit(1), F.length(raw), F.lit(2)), lambda k: digit(k) * 16 + digit(k + 1) + model.bytes_from)
-
-    ids = F.flatten(F.transform(chosen, lambda e: F.when(e["id"].isNotNull(), F.array(e["id"])).otherwise(spelled(e))))
-    return folded.select("unit", ids.alias("ids"))
+    ids = F.flatten(F.transform(chosen, lambda e: F.when(e["id"].isNotNull(), F.array(e["id"])).otherwise(_spelled(e["a"], model))))
+    return folded.select(*units.columns, ids.alias("ids"))
 
 
 def encode(docs: DataFrame, text: str = "text", model: PieceModel | None = None, name: str = "ids", frequent: int = FREQUENT) -> DataFrame:
     """``docs`` with the piece ids of each text under ``name``.
 
-    All distinct units of the table go through the lattice once. The ids of the ``frequent`` commonest are sent to
-    all tasks (a fixed bound); the others are joined to the texts that use them.
+    All distinct units of the table go through the lattice once. The ids of the commonest, ``frequent`` at most (a fixed
+    bound), are sent to all tasks; the others are joined to the texts that use them.
 
     Null texts get null, empty ones an empty array. Rows are told apart by nothing but their text, so ties and repeated
     rows do not matter. An empty table gives an empty result. Extra columns pass; one that bears the name of the
@@ -252,44 +313,61 @@ def encode(docs: DataFrame, text: str = "text", model: PieceModel | None = None,
     """
     model = model or load_model()
     spark: SparkSession = docs.sparkSession
-    units = docs.select(F.col(text).cast("string")).mapInArrow(_counts(model), "unit string, n long").groupBy("unit").agg(F.sum("n").alias("n"))
-    units = cut_lineage(units)
-    codes = cut_lineage(unit_ids(units.repartition("unit").select("unit"), model))
-    top = units.orderBy(F.col("n").desc(), "unit").limit(frequent)
-    common = cut_lineage(codes.join(F.broadcast(top.select("unit")), "unit"))  # at most ``frequent`` units
-    sent = spark.sparkContext.broadcast({r["unit"]: np.array(r["ids"], np.int32) for r in common.toLocalIterator()})
-    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(text).cast("string").alias("text"))
-    rows = rows.withColumns({"t0": F.xxhash64("text"), "t1": F.hash("text")})
+    texts = docs.select(F.col(text).cast("string").alias("text")).where("text <> ''")
+    units = _stored(texts.mapInArrow(_counts(model), "unit string, n long").groupBy("unit").agg(F.sum("n").alias("n")), "units")
+    # the least count, a power of two, that no more than ``frequent`` units reach
+    level = F.length(F.bin("n")) - 1
+    sizes = dict(units.groupBy(level.alias("level")).count().collect())  # 64 rows at most
+    least, reached = 64, 0
+    while least > 0 and reached + sizes.get(least - 1, 0) <= frequent:
+        least -= 1
+        reached += sizes.get(least, 0)
+    # a unit makes about a hundred substrings, so parts are cut by their number
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), sum(sizes.values()) // 50_000 + 1)
+    codes = _stored(unit_ids(units.select("unit", (level >= least).alias("common")).repartition(parts, "unit"), model), "codes")
+    sent = spark.sparkContext.broadcast({r["unit"]: np.array(r["ids"], np.int32).tobytes() for r in codes.where("common").toLocalIterator()})
+    value = F.col("text")
+    hashed = {"t0": F.xxhash64(value), "t1": F.hash(value)}
 
     def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cutter = Cutter(model.meets())
+        cutter, known = Cutter(model.meets()), sent.value
+        missing: dict[str, tuple[str, ...]] = {}
         for b in batches:
-            out: list[tuple] = []
+            t0s, t1s, found = [], [], []
             for t0, t1, t in zip(b.column("t0").to_pylist(), b.column("t1").to_pylist(), b.column("text")):
-                if t.is_valid:
-                    out.extend((t0, t1, u) for u in {u for u in cutter.of(t.as_py()) if u not in sent.value})
-            t0, t1, u = zip(*out) if out else ((), (), ())
-            yield pa.RecordBatch.from_pydict({"t0": pa.array(t0, pa.int64()), "t1": pa.array(t1, pa.int32()), "unit": pa.array(u, pa.string())})
-
-    used = rows.select("t0", "t1", "text").mapInArrow(rare, "t0 long, t1 int, unit string").distinct()
-    extra = used.join(codes, "unit").groupBy("t0", "t1").agg(F.collect_list(F.struct("unit", "ids")).alias("extra"))
-    met = rows.join(extra, ["t0", "t1"], "left").select("row", "text", "extra")
+                own = set()
+                for w in set(spaced_words(t.as_py())):
+                    more = missing.get(w)
+                    if more is None:
+                        if len(missing) >= REMEMBERED:
+                            missing.clear()
+                        more = missing[w] = tuple([u for u in cutter[w] if u not in known])
+                    if more:
+                        own.update(more)
+                found.extend(own)
+                t0s.extend([t0] * len(own))
+                t1s.extend([t1] * len(own))
+            yield pa.RecordBatch.from_pydict({"t0": pa.array(t0s, pa.int64()), "t1": pa.array(t1s, pa.int32()), "unit": pa.array(found, pa.string())})
+
+    used = texts.withColumns(hashed).mapInArrow(rare, "t0 long, t1 int, unit string").distinct()
+    extra = used.join(codes.where("NOT common").select("unit", "ids"), "unit").groupBy("t0", "t1").agg(F.collect_list(F.struct("unit", "ids")).alias("extra"))
+    kept = [c for c in docs.columns if c != name]
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(text).cast("string").alias("text")).withColumns(hashed).drop("text")
+    met = rows.join(extra, ["t0", "t1"], "left").select("row", F.col("row")[text].cast("string").alias("text"), "extra")
 
     def put_together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cutter = Cutter(model.meets())
+        speller = Speller(Cutter(model.meets()), sent.value)
         for b in batches:
-            ids = []
-            for t, more in zip(b.column("text"), b.column("extra")):
-                if not t.is_valid:
-                    ids.append(None)
-                    continue
-                own = {e["unit"]: np.array(e["ids"], np.int32) for e in more.as_py()} if more.is_valid else {}
-                parts = [sent.value[u] if u in sent.value else own[u] for u in cutter.of(t.as_py())]
-                ids.append(np.concatenate(parts) if parts else np.zeros(0, np.int32))
-            yield pa.RecordBatch.from_arrays([b.column("row"), pa.array(ids, pa.list_(pa.int32()))], names=["row", "ids"])
+            more = b.column("extra").flatten()
+            speller.extra = dict(zip(more.field("unit").to_pylist(), [np.array(i, np.int32).tobytes() for i in more.field("ids").to_pylist()]))
+            raw = [b"".join([speller[w] for w in spaced_words(t.as_py())]) if t.is_valid else None for t in b.column("text")]
+            values = pa.array(np.frombuffer(b"".join([r for r in raw if r]), np.int32))
+            ends = np.r_[0, np.cumsum([len(r) // 4 if r else 0 for r in raw])].astype(np.int32)
+            ids = pa.ListArray.from_arrays(pa.array(ends), values, mask=pa.array([r is None for r in raw], pa.bool_()))
+            yield pa.RecordBatch.from_arrays([b.column("row"), ids], names=["row", "ids"])
 
     coded = met.mapInArrow(put_together, f"row {rows.schema['row'].dataType.simpleString()}, ids array<int>")
-    return coded.select(*[F.col("row")[c].alias(c) for c in docs.columns if c != name], F.col("ids").alias(name))
+    return coded.select(*[F.col("row")[c].alias(c) for c in kept], F.col("ids").alias(name))
 
 
 def decode(ids: str | Column, model: PieceModel | None = None) -> Column:
