@@ -12,6 +12,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -108,7 +109,7 @@ class Cutter(dict):
             self.clear()
         meets, marked = self.meets, MARK + word
         start, out = 0, []
-        for i in range(1, len(marked)):
+        for i in range(1, 1 if meets.issuperset(map(add, marked, word)) else len(marked)):
             if marked[i - 1 : i + 1] not in meets:
                 out.append(marked[start:i])
                 start = i
@@ -324,26 +325,31 @@ def encode(docs: DataFrame, text: str = "text", model: PieceModel | None = None,
         reached += sizes.get(least, 0)
     # a unit makes about a hundred substrings, so parts are cut by their number
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), sum(sizes.values()) // 50_000 + 1)
-    codes = _stored(unit_ids(units.select("unit", (level >= least).alias("common")).repartition(parts, "unit"), model), "codes")
+    codes = _stored(unit_ids(units.select("unit", (level >= least).alias("common")).repartition(parts, "unit").sortWithinPartitions("unit"), model), "codes")
     sent = spark.sparkContext.broadcast({r["unit"]: np.array(r["ids"], np.int32).tobytes() for r in codes.where("common").toLocalIterator()})
     value = F.col("text")
     hashed = {"t0": F.xxhash64(value), "t1": F.hash(value)}
 
     def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cutter, known = Cutter(model.meets()), sent.value
+        settled: set[str] = set()  # words without missing units
         missing: dict[str, tuple[str, ...]] = {}
         for b in batches:
             t0s, t1s, found = [], [], []
             for t0, t1, t in zip(b.column("t0").to_pylist(), b.column("t1").to_pylist(), b.column("text")):
                 own = set()
-                for w in set(spaced_words(t.as_py())):
+                for w in set(spaced_words(t.as_py())).difference(settled):
                     more = missing.get(w)
                     if more is None:
-                        if len(missing) >= REMEMBERED:
-                            missing.clear()
-                        more = missing[w] = tuple([u for u in cutter[w] if u not in known])
-                    if more:
-                        own.update(more)
+                        more = tuple([u for u in cutter[w] if u not in known])
+                        if more:
+                            missing[w] = more
+                        else:
+                            settled.add(w)
+                    own.update(more)
+                if len(missing) + len(settled) >= REMEMBERED:
+                    missing.clear()
+                    settled.clear()
                 found.extend(own)
                 t0s.extend([t0] * len(own))
                 t1s.extend([t1] * len(own))
@@ -359,7 +365,8 @@ def encode(docs: DataFrame, text: str = "text", model: PieceModel | None = None,
         speller = Speller(Cutter(model.meets()), sent.value)
         for b in batches:
             more = b.column("extra").flatten()
-            speller.extra = dict(zip(more.field("unit").to_pylist(), [np.array(i, np.int32).tobytes() for i in more.field("ids").to_pylist()]))
+            ids, at = more.field("ids").values.to_numpy().tobytes(), (more.field("ids").offsets.to_numpy() * 4).tolist()
+            speller.extra = {u: ids[i:j] for u, i, j in zip(more.field("unit").to_pylist(), at, at[1:])}
             raw = [b"".join([speller[w] for w in spaced_words(t.as_py())]) if t.is_valid else None for t in b.column("text")]
             values = pa.array(np.frombuffer(b"".join([r for r in raw if r]), np.int32))
             ends = np.r_[0, np.cumsum([len(r) // 4 if r else 0 for r in raw])].astype(np.int32)
