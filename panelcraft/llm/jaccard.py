@@ -34,8 +34,10 @@ FREQUENT, VERY_FREQUENT = 32, 1_024
 #: A token that so many sets of one batch hold travels as one count, not once per set.
 HEAVY = 32
 _ALL = 65_535  # marks such a count
-_STAR_ROUNDS = 3
 _FEW_PAIRS = 100_000
+#: Tokens and sets of a block, about; a single longer set is a block of its own.
+BLOCK_TOKENS, BLOCK_SETS = 32_768, 256
+_COLUMNS = 4_096  # tokens of two blocks that are compared at a time
 
 _A = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
 _words = WordHashes()  # of this worker process
@@ -182,7 +184,7 @@ def rolling_rows(picks: np.ndarray) -> np.ndarray:
     return total
 
 
-_FOUND = "doc long, n long, same long, content long, tokens binary, signs array<long>"  # without content: a document, else a set
+_FOUND = "doc long, n long, same long, content long, odd double, tokens binary, signs array<long>"  # without content: a document, else a set
 
 
 def _indexed(percent: int):
@@ -202,15 +204,16 @@ def _indexed(percent: int):
         order = np.lexsort((t, held, owner))
         t, owner, held = t[order], owner[order], held[order]
         ends = np.searchsorted(owner, np.arange(len(first) + 1))
-        rows = [(d if there else None, k, int(first[s]) if s >= 0 else None, None, None, None) for there, d, k, s in docs.tolist()]
+        rows = [(d if there else None, k, int(first[s]) if s >= 0 else None, None, None, None, None) for there, d, k, s in docs.tolist()]
         for s in range(len(first)):
             a, b = ends[s], ends[s + 1]
             size = int(n[s])
             spare = size - -(-size * percent // 100)
             if size - (b - a) <= spare:
                 signs = signatures(t[a:b], held[a:b], size, spare)
-                rows.append((int(first[s]), size, int(first[s]), int(signed(content[s : s + 1])[0]), _pack(np.sort(t[a:b])), signed(signs).tolist()))
-        out = pd.DataFrame(rows, columns=["doc", "n", "same", "content", "tokens", "signs"])
+                odd = -float(np.log2(held[a:b]).sum()) / size
+                rows.append((int(first[s]), size, int(first[s]), int(signed(content[s : s + 1])[0]), odd, _pack(np.sort(t[a:b])), signed(signs).tolist()))
+        out = pd.DataFrame(rows, columns=["doc", "n", "same", "content", "odd", "tokens", "signs"])
         return out.astype({"doc": "Int64", "n": "Int64", "same": "Int64", "content": "Int64"})
 
     return run
@@ -228,50 +231,101 @@ def _alike(percent: int):
     return run
 
 
-def _links(sets: DataFrame, percent: int) -> DataFrame:
-    """``u, v``: links between the contents of ``content, n, tokens, signs`` that connect whatever is similar.
+def _block(pdf: pd.DataFrame) -> pd.DataFrame:
+    """The sets of one block as one row: its distinct tokens, and for each the sets that hold it."""
+    tokens = [_unpack(b) for b in pdf["tokens"]]
+    t, owner = np.concatenate(tokens), np.repeat(np.arange(len(pdf)), [len(x) for x in tokens])
+    order = np.argsort(t, kind="stable")
+    distinct, counts = np.unique(t, return_counts=True)
+    numbers = [pdf[c].to_numpy(np.int64) for c in ("content", "group", "n")]
+    data = pickle.dumps((*numbers, _pack(distinct), counts.astype(np.uint32), owner[order].astype(np.uint32)), protocol=5)
+    return pd.DataFrame({"block": [pdf["block"].iloc[0]], "data": [data]})
+
+
+def _between(percent: int):
+    """Links between sets of two blocks that are in different groups, one for each pair of groups."""
+
+    def compared(x: bytes, y: bytes) -> tuple[np.ndarray, np.ndarray]:
+        (u, gu, nu, tu, cu, ou), (v, gv, nv, tv, cv, ov) = pickle.loads(x), pickle.loads(y)
+        if len(np.unique(np.r_[gu, gv])) == 1:
+            return u[:0], v[:0]
+        tu, tv = _unpack(tu), _unpack(tv)
+        common, iu, iv = np.intersect1d(tu, tv, assume_unique=True, return_indices=True)
+
+        def columns(at: np.ndarray, size: int, counts: np.ndarray) -> np.ndarray:
+            column = np.full(size, -1)
+            column[at] = np.arange(len(at))
+            return np.repeat(column, counts)
+
+        ku, kv = columns(iu, len(tu), cu), columns(iv, len(tv), cv)
+        both = np.zeros((len(u), len(v)), np.int64)
+        for start in range(0, len(common), _COLUMNS):
+            sides = []
+            for k, owner, size in ((ku, ou, len(u)), (kv, ov, len(v))):
+                here = (k >= start) & (k < start + _COLUMNS)
+                held = np.zeros((size, min(_COLUMNS, len(common) - start)), np.float32)
+                held[owner[here], k[here] - start] = 1
+                sides.append(held)
+            both += (sides[0] @ sides[1].T).astype(np.int64)
+        like = (100 * both >= percent * (nu[:, None] + nv[None, :] - both)) & (gu[:, None] != gv[None, :])
+        i, j = np.nonzero(like)
+        first = np.unique(np.stack([gu[i], gv[j]]), axis=1, return_index=True)[1]
+        return u[i[first]], v[j[first]]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for x, y in zip(b.column("x"), b.column("y")):
+                u, v = compared(x.as_buffer(), y.as_buffer())
+                yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
+
+    return run
+
 
-    A signature that many sets share is not expanded into pairs. Its sets are compared with one of them, groups are
-    formed, and only sets that are still in different groups meet again. After a few such rounds what is left in
-    different groups is compared in full, so no link between groups is lost.
+def _stars(sets: DataFrame, percent: int) -> DataFrame:
+    """``u, v``: links between the sets of a signature and the most typical of them.
+
+    Near copies of one text differ more from each other than from it. Its tokens are the ones most sets hold, so the
+    set with the least ``odd`` is the original or close to it, and the same one for most signatures of a crowd.
     """
     bodies = sets.select("content", "n", "tokens")
-    rows = sets.select(F.explode("signs").alias("sign"), "content", "n", F.col("content").alias("group"))
-    fits = lambda n, m: (F.least(n, m) * 100 >= F.greatest(n, m) * percent)
-
-    def checked(pairs: DataFrame) -> DataFrame:
-        pairs = cut_lineage(pairs.select(F.least("x", "y").alias("u"), F.greatest("x", "y").alias("v")).distinct())
-        few = pairs.count() <= _FEW_PAIRS  # then the pairs go to the bodies, else both move
-
-        def side(s: str) -> DataFrame:
-            found = bodies.select(F.col("content").alias(s), F.col("n").alias(f"n{s}"), F.col("tokens").alias(f"t{s}"))
-            return (F.broadcast(pairs) if few else pairs).join(found, s)
-
-        met = side("u").join(side("v"), ["u", "v"])
-        return cut_lineage(met.mapInArrow(_alike(percent), "u long, v long"))
-
-    edges = None
-    for turn in range(_STAR_ROUNDS + 1):
-        pick = F.min(F.struct(F.xxhash64("content", F.lit(turn)).alias("h"), "content", "n", "group")).alias("c")
-        open_ = rows.groupBy("sign").agg(F.min("group").alias("g0"), F.max("group").alias("g1"), pick).where("g0 <> g1").drop("g0", "g1")
-        if turn < _STAR_ROUNDS:
-            met = rows.join(open_, "sign").where((F.col("group") != F.col("c.group")) & fits(F.col("n"), F.col("c.n")))
-            found = checked(met.select(F.col("content").alias("x"), F.col("c.content").alias("y")))
-        else:
-            left = rows.join(open_.select("sign"), "sign")
-            there = left.select("sign", F.col("content").alias("y"), F.col("n").alias("m"), F.col("group").alias("other"))
-            met = left.join(there, "sign").where((F.col("group") < F.col("other")) & fits(F.col("n"), F.col("m")))
-            found = checked(met.select(F.col("content").alias("x"), "y"))
-        edges = found if edges is None else edges.unionByName(found)
-        if turn == _STAR_ROUNDS:
-            break
-        groups = linked_groups(edges).withColumnRenamed("node", "content")
-        grouped = rows.drop("group").join(groups, "content", "left").select("sign", "content", "n", F.coalesce("component", "content").alias("group"))
-        open_ = grouped.groupBy("sign").agg(F.min("group").alias("g0"), F.max("group").alias("g1")).where("g0 <> g1").select("sign")
-        rows = cut_lineage(grouped.join(open_, "sign"))
-        if rows.isEmpty():
-            break
-    return edges
+    rows = sets.select(F.explode("signs").alias("sign"), "content", "n", "odd")
+    centres = rows.groupBy("sign").agg(F.min(F.struct("odd", "content", "n")).alias("c"), F.count(F.lit(1)).alias("m")).where("m > 1").drop("m")
+    fits = F.least("n", "c.n") * 100 >= F.greatest("n", "c.n") * percent
+    met = rows.join(centres, "sign").where((F.col("content") != F.col("c.content")) & fits)
+    pairs = cut_lineage(met.select(F.least("content", "c.content").alias("u"), F.greatest("content", "c.content").alias("v")).distinct())
+    few = pairs.count() <= _FEW_PAIRS  # then the pairs go to the bodies, else both move
+
+    def side(s: str) -> DataFrame:
+        found = bodies.select(F.col("content").alias(s), F.col("n").alias(f"n{s}"), F.col("tokens").alias(f"t{s}"))
+        return (F.broadcast(pairs) if few else pairs).join(found, s)
+
+    return cut_lineage(side("u").join(side("v"), ["u", "v"]).mapInArrow(_alike(percent), "u long, v long"))
+
+
+def _links(sets: DataFrame, percent: int) -> DataFrame:
+    """``u, v``: links between the contents of ``content, n, odd, tokens, signs`` that connect whatever is similar.
+
+    A signature that many sets share is not expanded into pairs. Its sets are first compared with one of them, and
+    groups are formed. Sets that share a signature with another group then lie in blocks of bounded size, by the
+    commonest of their signatures; two blocks that share a signature meet once, however many they share, and sets of
+    different groups in them are compared in full. So no link between groups is lost.
+    """
+    stars = _stars(sets, percent)
+    groups = linked_groups(stars).withColumnRenamed("node", "content")
+    grouped = sets.select("content", "n", "tokens", "signs").join(groups, "content", "left").withColumn("group", F.coalesce("component", "content"))
+    rows = grouped.select(F.explode("signs").alias("sign"), "content", "n", "group")
+    open_ = rows.groupBy("sign").agg(F.min("group").alias("g0"), F.max("group").alias("g1"), F.count(F.lit(1)).alias("m")).where("g0 <> g1")
+    rows = cut_lineage(rows.join(open_.select("sign", "m"), "sign"))
+    home = rows.groupBy("content").agg(F.max(F.struct("m", "sign"))["sign"].alias("crowd"), F.first("n").alias("n"), F.first("group").alias("group"))
+    parts = F.ceil(F.greatest(F.sum("n") / F.lit(BLOCK_TOKENS), F.count(F.lit(1)) / F.lit(BLOCK_SETS)))
+    block = F.xxhash64("crowd", F.pmod(F.xxhash64("content"), F.col("parts")))
+    placed = cut_lineage(home.join(home.groupBy("crowd").agg(parts.alias("parts")), "crowd").select("content", "n", "group", block.alias("block")))
+    bodies = sets.select("content", "tokens").join(placed, "content")
+    blocks = cut_lineage(bodies.groupBy("block").applyInPandas(_block, "block long, data binary"))
+    there = cut_lineage(rows.select("sign", "content").join(placed.select("content", "block"), "content").select("sign", "block").distinct())
+    pairs = there.join(there.select("sign", F.col("block").alias("other")), "sign").where("block <= other").select("block", "other").distinct()
+    met = pairs.join(blocks.withColumnRenamed("data", "x"), "block").join(blocks.toDF("other", "y"), "other")
+    return stars.unionByName(cut_lineage(met.select("x", "y").mapInArrow(_between(percent), "u long, v long")))
 
 
 def join_similar(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -291,7 +345,7 @@ def join_similar(docs: DataFrame, key: str = "doc_id", text: str = "text", words
     known = blobs.groupBy("part").applyInPandas(_counted, _BLOBS)
     found = cut_lineage(known.groupBy("chunk").applyInPandas(_indexed(percent), _FOUND))
     # sets of equal content are one from here on, named by it
-    merged = found.where("content IS NOT NULL").groupBy("content").agg(F.first("n").alias("n"), F.first("tokens").alias("tokens"), F.first("signs").alias("signs"), F.min("doc").alias("doc"))
+    merged = found.where("content IS NOT NULL").groupBy("content").agg(F.first("n").alias("n"), F.first("odd").alias("odd"), F.first("tokens").alias("tokens"), F.first("signs").alias("signs"), F.min("doc").alias("doc"))
     merged = cut_lineage(merged)
     edges = _links(merged, percent)
     named = merged.select("content", "doc")

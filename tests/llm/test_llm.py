@@ -189,6 +189,24 @@ def test_jaccard_of_a_crowd(spark, monkeypatch):
     check_groups(spark.createDataFrame(rows, "doc_id long, text string").repartition(5))
 
 
+def test_jaccard_of_blocks(spark, monkeypatch):
+    """Families around several texts, members of which are alike only through others, in many small blocks."""
+    from panelcraft.llm import jaccard
+
+    monkeypatch.setattr(jaccard, "BLOCK_TOKENS", 500)
+    monkeypatch.setattr(jaccard, "BLOCK_SETS", 4)
+    rng = np.random.default_rng(5)
+    rows = []
+    for family in range(3):
+        base = [f"b{i}" for i in range(100)] if family < 2 else [f"c{i}" for i in range(100)]
+        for i in range(80):
+            ws = list(base)
+            for at in rng.integers(0, 100, int(rng.integers(1, 8))):
+                ws[at] = f"e{rng.integers(0, 6)}"
+            rows.append((family * 100 + i, " ".join(ws[family * 8 :])))
+    check_groups(spark.createDataFrame(rows, "doc_id long, text string").repartition(5))
+
+
 def test_jaccard_of_odd_rows(odd):
     got = [(r["doc_id"], r["n_shingles"], r["component_id"]) for r in join_similar(odd).collect()]
     assert len(got) == odd.count()
