@@ -35,6 +35,8 @@ FREQUENT, VERY_FREQUENT = 32, 1_024
 HEAVY = 32
 _ALL = 65_535  # marks such a count
 _FEW_PAIRS = 100_000
+#: Characters of text whose tokens one token range holds, about; ranges grow in number with the input, not in size.
+RANGE_CHARS = 16_000_000
 #: Tokens and sets of a block, about; a single longer set is a block of its own.
 BLOCK_TOKENS, BLOCK_SETS = 32_768, 256
 _COLUMNS = 4_096  # tokens of two blocks that are compared at a time
@@ -340,7 +342,8 @@ def join_similar(docs: DataFrame, key: str = "doc_id", text: str = "text", words
     empty result. ``docs`` should be stored, or at least give its rows in the same order when read again after a
     loss. Only ``key`` and ``text`` are read.
     """
-    ranges = max(16, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    size = docs.agg(F.sum(F.length(F.col(text).cast("string")))).first()[0] or 0
+    ranges = max(16, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), size // RANGE_CHARS + 1)
     blobs = docs.select(F.col(key).cast("long"), F.col(text).cast("string")).mapInArrow(_spread(ranges, words), _BLOBS)
     known = blobs.groupBy("part").applyInPandas(_counted, _BLOBS)
     found = cut_lineage(known.groupBy("chunk").applyInPandas(_indexed(percent), _FOUND))
