@@ -1,5 +1,5 @@
-"""Models, tuning, clustering, reduction, sinks for them, and the named flows. Tree counts are kept small so
-that every query runs over its whole table in reasonable time."""
+"""Models, tuning, clustering, reduction, sinks for them, and the named flows, all in the operators' own
+configuration: tree counts, depths, iterations, folds, starts and models are never overridden here."""
 
 from __future__ import annotations
 
@@ -31,7 +31,7 @@ def scored_orders(t):
     )
 
 
-def class_rows(t, folds=2):
+def class_rows(t, folds=models.FOLDS):
     m = splits.classification_matrix(scored_orders(t), "row_key")
     coded = splits.label_indexer(m.rows, "preparedness_level").transform(m.assembled())
     stored = sinks.write_stage(coded.select("row_key", "label", "features", "is_test"), scratch_folder(t.spark, "classes"))
@@ -39,7 +39,7 @@ def class_rows(t, folds=2):
     return tuning.folded(train, "row_key", folds, "label"), test
 
 
-def value_rows(t, folds=2):
+def value_rows(t, folds=models.FOLDS):
     m = splits.regression_matrix(scored_orders(t), "row_key")
     rows = m.assembled().select("row_key", F.col(m.target).alias("label"), "features", "is_test")
     train, test = splits.train_test(sinks.write_stage(rows, scratch_folder(t.spark, "values")))
@@ -57,27 +57,27 @@ def _classified(t, name, train):
 
 @query("m1_logistic_regression")
 def _(t):
-    return _classified(t, "logistic", partial(models.train_logistic, max_iter=15, folds=2))
+    return _classified(t, "logistic", models.train_logistic)
 
 
 @query("m2_random_forest")
 def _(t):
-    return _classified(t, "forest", partial(models.train_random_forest, trees=5, depth=6, folds=2))
+    return _classified(t, "forest", models.train_random_forest)
 
 
 @query("m3_boosted_subspace")
 def _(t):
-    return _classified(t, "boosted", partial(models.train_boosted_subspace, trees=2, depth=3, folds=2))
+    return _classified(t, "boosted", models.train_boosted_subspace)
 
 
 @query("m4_kernel_svm")
 def _(t):
-    return _classified(t, "svm", partial(models.train_kernel_svm, size=64, max_iter=5, folds=2))
+    return _classified(t, "svm", models.train_kernel_svm)
 
 
 @query("m5_gradient_boosting")
 def _(t):
-    return _classified(t, "boosting", partial(models.train_gradient_boosting, trees=2, depth=3, folds=2))
+    return _classified(t, "boosting", models.train_gradient_boosting)
 
 
 def _regressed(t, name, train):
@@ -88,17 +88,17 @@ def _regressed(t, name, train):
 
 @query("r3_forest_regressor")
 def _(t):
-    return _regressed(t, "forest", partial(models.train_forest_regressor, trees=5, depth=6, folds=2))
+    return _regressed(t, "forest", models.train_forest_regressor)
 
 
 @query("r4_boosted_subspace_regressor")
 def _(t):
-    return _regressed(t, "boosted", partial(models.train_boosted_regressor, trees=3, depth=3, columns="0.8", folds=2))
+    return _regressed(t, "boosted", partial(models.train_boosted_regressor, columns="0.8"))
 
 
 @query("r5_gradient_boosting_regressor")
 def _(t):
-    return _regressed(t, "boosting", partial(models.train_boosted_regressor, trees=3, depth=3, folds=2))
+    return _regressed(t, "boosting", models.train_boosted_regressor)
 
 
 def _one_input(t):
@@ -138,7 +138,7 @@ def _(t):
 def _(t):
     """One row per grid point: mean and std of the fold scores."""
     rows, _test = class_rows(t)
-    tuned = models.train_logistic(rows, strengths=(0.1, 1.0), max_iter=10, folds=2)
+    tuned = models.train_logistic(rows, strengths=(0.1, 1.0))
     table = [(c, m, s) for c, m, s in zip((0.1, 1.0), tuned.grid_means, tuned.grid_stds)]
     return t.spark.createDataFrame(table, "strength double, cv_mean double, cv_std double")
 
@@ -146,14 +146,14 @@ def _(t):
 @query("t7_cross_val_score")
 def _(t):
     rows, _test = class_rows(t, folds=5)
-    mean, std = tuning.cross_val_score(models.random_forest(3, 4), tuning.accuracy(), rows, folds=5)
+    mean, std = tuning.cross_val_score(models.random_forest(), tuning.accuracy(), rows, folds=5)
     return t.spark.createDataFrame([(mean, std)], "cv_mean double, cv_std double")
 
 
 @query("x7_cv_summary")
 def _(t):
     rows, _test = value_rows(t)
-    tuned = models.train_ridge(rows, folds=2)
+    tuned = models.train_ridge(rows)
     return t.spark.createDataFrame([tuned.row("ridge", regression=True)], tuning.TRAINING_SCHEMA).drop("seconds")
 
 
@@ -163,8 +163,8 @@ def _(t):
 def _labels(t):
     rows = clustering.clustering_rows(scored_orders(t), "row_key")
     vectors = clustering.scaled_vectors(rows, "row_key").persist()
-    kmeans = clustering.fit_kmeans(vectors, "features", 3, starts=2).labels(vectors, "row_key", "features")
-    tree = clustering.fit_hierarchy(vectors, "features", micro=100).labels(vectors, "row_key", "features", 5)
+    kmeans = clustering.fit_kmeans(vectors, "features", 3).labels(vectors, "row_key", "features")
+    tree = clustering.fit_hierarchy(vectors, "features").labels(vectors, "row_key", "features", 5)
     folder = scratch_folder(t.spark, "cluster-labels")
     return {n: sinks.save_labels(d, "row_key", "cluster", f"{folder}/{n}") for n, d in (("kmeans", kmeans), ("hierarchical", tree))}
 
@@ -173,7 +173,7 @@ def _experiments(t):
     prepared = experiments.experiment_splits(
         scored_orders(t), "row_key", "preparedness_level", _labels(t), exclude=["healthcare_capacity_score"]
     )
-    return experiments.run_experiments(prepared, trees=3, depth=4, folds=2)
+    return experiments.run_experiments(prepared)
 
 
 @query("m6_cluster_experiments")
@@ -190,7 +190,7 @@ def _(t):
 
 def _forest(t):
     rows, test = class_rows(t)
-    return models.random_forest(5, 6).fit(rows), test
+    return models.random_forest().fit(rows), test
 
 
 @query("o3_top_importance")
@@ -263,13 +263,13 @@ def _(t):
 
 @query("k2_search_k")
 def _(t):
-    return clustering.search_k(customer_vectors(t), "row_key", "features", ks=range(2, 5), starts=2)[1]
+    return clustering.search_k(customer_vectors(t), "row_key", "features")[1]
 
 
 @query("k3_kmeans")
 def _(t):
     vectors = customer_vectors(t).persist()
-    _fit, labels, _metrics = clustering.train_kmeans(vectors, "row_key", "features", 4, starts=2)
+    _fit, labels, _metrics = clustering.train_kmeans(vectors, "row_key", "features", 4)
     return labels
 
 
@@ -372,43 +372,33 @@ def _(t):
     return parts[0].unionByName(parts[1])
 
 
-QUICK_CLASSIFIERS = {
-    "Logistic Regression": partial(models.train_logistic, max_iter=10, folds=2),
-    "Random Forest": partial(models.train_random_forest, trees=3, depth=5, folds=2),
-}
-QUICK_REGRESSORS = {"Linear Regression": partial(models.train_linear, folds=2), "Ridge Regression": partial(models.train_ridge, folds=2)}
-
-
 @query("g2_classification_flow")
 def _(t):
     rows = scored_orders(t).drop("healthcare_capacity_score")
-    return flows.run_classification(rows, trainers=QUICK_CLASSIFIERS, folds=2)["evaluation"]
+    return flows.run_classification(rows)["evaluation"]
 
 
 @query("g3_regression_flow")
 def _(t):
-    return flows.run_regression(scored_orders(t), trainers=QUICK_REGRESSORS, folds=2)["evaluation"]
+    return flows.run_regression(scored_orders(t))["evaluation"]
 
 
 @query("g4_unsupervised_flow")
 def _(t):
-    found = flows.run_unsupervised(customer_rows(t), ks=range(2, 4), starts=1, eps=0.8, min_samples=10)
+    found = flows.run_unsupervised(customer_rows(t), eps=0.8, min_samples=10)
     return found["comparison"]
 
 
 @query("g5_integration_flow")
 def _(t):
     rows = scored_orders(t).drop("healthcare_capacity_score")
-    found = flows.run_integration(rows, _labels(t), rows=None, trees=3, depth=4, folds=2)
+    found = flows.run_integration(rows, _labels(t), rows=None)
     return found["comparison"].drop("seconds", "time_diff")
 
 
 @query("g6_supervised_flow")
 def _(t):
     rows = scored_orders(t)
-    found = flows.run_supervised(
-        rows, rows, classification_options={"trainers": QUICK_CLASSIFIERS, "folds": 2},
-        regression_options={"trainers": QUICK_REGRESSORS, "folds": 2},
-    )
+    found = flows.run_supervised(rows, rows)
     a = found["classification"]["evaluation"].select("model", F.col("f1_weighted").alias("score"))
     return a.unionByName(found["regression"]["evaluation"].select("model", F.col("r2").alias("score")))

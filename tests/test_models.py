@@ -1,13 +1,17 @@
 """Model builders and flows on a small three-class fixture."""
 
+import inspect
 from functools import partial
 
 import numpy as np
 import pytest
 from pyspark.ml.feature import VectorAssembler
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelcraft.operators import experiments, metrics, models, splits, tuning
+import __spark_entry__ as entry
+from panel_queries import modeling
+from panelcraft.operators import clustering, experiments, metrics, models, splits, tuning
 from panelcraft.plans import flows
 
 
@@ -86,3 +90,42 @@ def test_classification_flow_saves_models(spark, rows, tmp_path):
     assert out["ranking"].count() == 1 and (tmp_path / "random_forest").exists()
     assert out["labels"] == ["High", "Low", "Medium"]
     assert out["evaluation"].first()["roc_auc_ovr"] > 0.5
+
+
+class Called(Exception):
+    pass
+
+
+SIZES = {"trees", "depth", "leaf", "size", "max_iter", "maxIter", "folds", "starts", "micro", "ks", "trainers", "rate", "strengths"}
+CALLS = {
+    "m1_logistic_regression": (models, "train_logistic"), "m2_random_forest": (models, "train_random_forest"),
+    "m3_boosted_subspace": (models, "train_boosted_subspace"), "m4_kernel_svm": (models, "train_kernel_svm"),
+    "m5_gradient_boosting": (models, "train_gradient_boosting"), "r3_forest_regressor": (models, "train_forest_regressor"),
+    "r4_boosted_subspace_regressor": (models, "train_boosted_regressor"), "r5_gradient_boosting_regressor": (models, "train_boosted_regressor"),
+    "t6_grid_search": (models, "train_logistic"), "t7_cross_val_score": (models, "random_forest"), "x7_cv_summary": (models, "train_ridge"),
+    "o3_top_importance": (models, "random_forest"), "s4_model_persistence": (models, "random_forest"),
+    "m6_cluster_experiments": (experiments, "run_experiments"), "x13_cluster_importance": (experiments, "run_experiments"),
+    "k2_search_k": (clustering, "search_k"), "k3_kmeans": (clustering, "train_kmeans"), "g2_classification_flow": (flows, "run_classification"),
+    "g3_regression_flow": (flows, "run_regression"), "g4_unsupervised_flow": (flows, "run_unsupervised"),
+    "g5_integration_flow": (flows, "run_integration"), "g6_supervised_flow": (flows, "run_supervised"),
+}
+
+
+@pytest.mark.parametrize("name", sorted(CALLS))
+def test_queries_use_the_operators_configuration(spark, monkeypatch, name):
+    module, function = CALLS[name]
+    defaults = {p.name: p.default for p in inspect.signature(getattr(module, function)).parameters.values()}
+
+    def stop(*args, **given):
+        frames = [a for a in args if isinstance(a, DataFrame) and "fold" in a.columns]
+        raise Called(given | dict(zip(defaults, args)), [a.select("fold").distinct().count() for a in frames])
+
+    monkeypatch.setattr(module, function, stop)
+    monkeypatch.setattr(modeling, "_labels", lambda t: {})
+    monkeypatch.setattr(experiments, "experiment_splits", lambda *a, **k: None)
+    with pytest.raises(Called) as found:
+        entry.queries()[name](spark, "/root/testdata/sf0.001")
+    given, folds = found.value.args
+    assert {k: v for k, v in given.items() if k in SIZES and v != defaults.get(k)} == {}
+    assert not {"classification_options", "regression_options"} & set(given)
+    assert folds in ([], [defaults.get("folds")])
