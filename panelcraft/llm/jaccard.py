@@ -19,6 +19,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -67,16 +68,20 @@ _BLOBS = "part int, chunk long, tokens binary, sets binary, counts binary, head
 
 
 def _spread(ranges: int, words: int):
-    """Tokens of each batch of documents, cut by token range, with the batch's own number of each set."""
+    """Tokens of each batch of documents, cut by token range, with the batch's own number of each set.
+
+    A batch is named by where it is and what it holds: batches of equal content stay apart.
+    """
     width = np.uint64((1 << BITS) // ranges + 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
+        partition = TaskContext.get().partitionId()
+        for at, whole in enumerate(batches):
             for start in range(0, whole.num_rows, 10_000):
-                yield chunk(whole.slice(start, 10_000))
+                yield chunk(whole.slice(start, 10_000), (partition, at, start))
 
-    def chunk(batch: pa.RecordBatch) -> pa.RecordBatch:
-        name, number, sets, docs = xxhash.xxh3_64(), {}, [], []
+    def chunk(batch: pa.RecordBatch, place: tuple[int, int, int]) -> pa.RecordBatch:
+        name, number, sets, docs = xxhash.xxh3_64(repr(place).encode()), {}, [], []
         for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
             found = shingles(text.as_py(), words)
             content = xxhash.xxh3_128_digest(found.tobytes())

@@ -215,6 +215,18 @@ def test_jaccard_of_odd_rows(odd):
     assert {n for i, n, _ in got if i in (1, 2, 3)} == {0}
 
 
+def test_jaccard_keeps_rows_of_equal_batches(spark, tmp_path):
+    """A part file that a table holds twice, and runs of equal rows over several batches."""
+    passage = " ".join(f"word{i}" for i in range(60))
+    part = spark.createDataFrame([(1, passage), (1, passage), (2, passage + " tail"), (None, None), (3, None)], "doc_id long, text string")
+    for _ in range(2):
+        part.coalesce(1).write.mode("append").parquet(str(tmp_path / "docs"))
+    got = Counter((r["doc_id"], r["component_id"]) for r in join_similar(spark.read.parquet(str(tmp_path / "docs"))).collect())
+    assert got == {(1, 1): 4, (2, 1): 2, (None, None): 2, (3, 3): 2}
+    equal = spark.range(25_000).select(F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("string").alias("text"))
+    assert join_similar(equal.coalesce(1)).count() == 25_000
+
+
 def test_embeddings_against_brute_force(spark):
     rng = np.random.default_rng(5)
     centres = rng.normal(size=(40, 24))
