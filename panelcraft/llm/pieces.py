@@ -43,15 +43,17 @@ class PieceModel:
     bytes_from: int  # id of <0x00>, or -1
     unknown: int
     kind: str
+    special: frozenset[int] = frozenset()  # ids of control, byte and unused pieces, as the model file marks them
+    control: frozenset[int] = frozenset()  # those of them that decode to nothing
 
     @property
     def longest(self) -> int:
         return max(len(p) for p in self.pieces)
 
     def plain(self) -> list[tuple[str, int, float]]:
-        """Pieces that match text: no control, unknown or byte pieces."""
-        skip = set(range(self.bytes_from, self.bytes_from + 256)) if self.bytes_from >= 0 else set()
-        return [(p, i, s) for i, (p, s) in enumerate(zip(self.pieces, self.scores)) if i not in skip and not (p.startswith("<") and p.endswith(">") and len(p) > 2)]
+        """Pieces that match text: no control, unknown, byte or unused pieces, however these are spelt."""
+        skip = self.special | {self.unknown}
+        return [(p, i, s) for i, (p, s) in enumerate(zip(self.pieces, self.scores)) if i not in skip]
 
     def meets(self) -> frozenset[str]:
         """Neighbouring characters that some piece holds; between any others a text can be cut."""
@@ -84,7 +86,10 @@ def load_model(path: str = MODEL, kind: str = "bpe") -> PieceModel:
 
     m = sentencepiece.SentencePieceProcessor(model_file=path)
     pieces = tuple(m.id_to_piece(i) for i in range(m.vocab_size()))
-    return PieceModel(pieces, tuple(m.get_score(i) for i in range(len(pieces))), m.piece_to_id("<0x00>") if "<0x00>" in pieces else -1, m.unk_id(), kind)
+    ids = range(len(pieces))
+    control = frozenset(i for i in ids if m.is_control(i))
+    special = control | {i for i in ids if m.is_byte(i) or m.is_unused(i)}
+    return PieceModel(pieces, tuple(m.get_score(i) for i in ids), m.piece_to_id("<0x00>") if "<0x00>" in pieces else -1, m.unk_id(), kind, special, control)
 
 
 def spaced_words(text: str) -> list[str]:
@@ -383,11 +388,9 @@ def decode(ids: str | Column, model: PieceModel | None = None) -> Column:
     raw = [p.replace(MARK, " ").encode().hex() for p in model.pieces]
     for i in range(256 if model.bytes_from >= 0 else 0):
         raw[model.bytes_from + i] = f"{i:02x}"
-    for i, p in enumerate(model.pieces):
-        if i == model.unknown:
-            raw[i] = " ⁇ ".encode().hex()
-        elif p.startswith("<") and p.endswith(">") and p[1:-1] in ("s", "/s", "pad"):
-            raw[i] = ""
+    for i in model.control:
+        raw[i] = ""
+    raw[model.unknown] = " ⁇ ".encode().hex()
     table = F.split(F.lit(",".join(raw)), ",")
     c = F.col(ids) if isinstance(ids, str) else ids
     spelled = F.decode(F.unhex(F.array_join(F.transform(c, lambda i: F.get(table, i)), "")), "UTF-8")

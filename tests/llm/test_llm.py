@@ -319,7 +319,7 @@ def test_pieces_equal_the_library(spark, odd, docs):
 
     lib = sentencepiece.SentencePieceProcessor(model_file=MODEL)
     some = docs.limit(40).select("doc_id", "text").unionByName(odd.where("doc_id <> 9").select("doc_id", "text"))
-    more = spark.createDataFrame([(70, "  two  spaces\t\n tab "), (71, "    "), (72, "x" * 300), (73, "<s> <0x41> </s>")], "doc_id long, text string")
+    more = spark.createDataFrame([(70, "  two  spaces\t\n tab "), (71, "    "), (72, "x" * 300), (73, "<s> <0x41> </s>"), (74, "List<?> <?><?> Map<?,<?>>")], "doc_id long, text string")
     got = encode(some.unionByName(more), frequent=500).withColumn("back", decode("ids")).collect()
     for r in got:
         if r["text"] is None:
