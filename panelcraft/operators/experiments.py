@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelcraft.functions.columns import numeric_columns, require_columns
+from panelcraft.operators.checks import finite_measures
+from panelcraft.operators.clean import median_impute
 from panelcraft.operators.integrate import attach_labels
 from panelcraft.operators.metrics import classification_metrics, compare_experiments, experiment_conclusion, importance_rank
 from panelcraft.operators.models import importance_table, random_forest
@@ -21,11 +23,13 @@ from panelcraft.operators.tuning import accuracy, cross_val_score
 RESULT_SCHEMA = (
     "experiment string, n_features long, accuracy double, f1 double, cv_mean double, cv_std double, seconds double"
 )
+#: Cluster of a row that a labelling does not hold; DBSCAN's noise is -1.
+MISSING_CLUSTER = -2
 
 
 @dataclass
 class ExperimentSplits:
-    """One split shared by all experiments, and the inputs each of them uses."""
+    """One split shared by all experiments, and the inputs, without gaps, each of them uses."""
 
     rows: DataFrame
     inputs: dict[str, list[str]]
@@ -37,14 +41,18 @@ def experiment_splits(
     df: DataFrame, key: str, target: str, labels: Mapping[str, DataFrame], test_share: float = TEST_SHARE, seed: int = SEED,
     exclude: Sequence[str] = (),
 ) -> ExperimentSplits:
-    """``labels`` maps an experiment to its ``key, cluster`` table, joined by row key as ``<name>_cluster``."""
+    """``labels`` maps an experiment to its ``key, cluster`` table, joined by row key as ``<name>_cluster``.
+
+    Gaps in numeric inputs get the median (0 in a column without any value), rows without a label get the cluster
+    ``MISSING_CLUSTER``: no experiment leaves a row out.
+    """
     require_columns(df, key, target)
     base = numeric_columns(df, exclude=[key, target, *exclude])
-    wide = df.select(key, target, *base)
+    wide = median_impute(finite_measures(df.select(key, target, *base), base), base).na.fill(0, subset=base)
     inputs = {"baseline": base}
     for name, table in labels.items():
         column = f"{name}_cluster"
-        wide = attach_labels(wide, table.select(key, F.col("cluster").alias(column)), key)
+        wide = attach_labels(wide, table.select(key, F.col("cluster").alias(column)), key).na.fill(MISSING_CLUSTER, subset=[column])
         inputs[name] = [*base, column]
     return ExperimentSplits(with_stratified_split(wide, key, target, test_share, seed), inputs, key, target)
 
@@ -52,10 +60,7 @@ def experiment_splits(
 def run_experiments(
     splits: ExperimentSplits, trees: int = 100, depth: int = 10, leaf: int = 2, folds: int = 5
 ) -> tuple[DataFrame, DataFrame, dict[str, RandomForestClassificationModel]]:
-    """(result row per experiment, importance of every input per experiment, fitted models).
-
-    Missing inputs are kept by ``VectorAssembler`` only when complete, so rows with gaps are left out.
-    """
+    """(result row per experiment, importance of every input per experiment, fitted models), all on the same rows."""
     spark = splits.rows.sparkSession
     coded = label_indexer(splits.rows, splits.target).transform(splits.rows)
     train = with_stratified_folds(coded.where(~F.col("is_test")), splits.key, splits.target, folds).persist()
@@ -63,7 +68,7 @@ def run_experiments(
     results, importances, models = [], None, {}
     try:
         for name, inputs in splits.inputs.items():
-            assembler = VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="skip")
+            assembler = VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="error")
             ready = assembler.transform(train)
             estimator = random_forest(trees, depth, leaf)
             start = time.time()

@@ -84,6 +84,26 @@ def test_experiments_share_the_split(spark, rows):
     assert report["cluster_rank"].count() == 2
 
 
+def test_experiments_score_the_same_rows(spark, rows, monkeypatch):
+    """Gaps in inputs and labellings that hold few of the rows."""
+    gappy = rows.drop("target").withColumns({"b": F.when(F.col("row_key") % 3 != 0, F.col("b")), "d": F.lit(None).cast("double")})
+    gappy = gappy.withColumn("c", F.when(F.col("row_key") % 7 == 0, float("inf")).otherwise(F.col("c")))
+    few = rows.where("row_key % 4 = 0").select("row_key", (F.col("a") > 0).cast("int").alias("cluster"))
+    seen = []
+
+    def counted(df, *columns):
+        seen.append({r["row_key"] for r in df.select("row_key").collect()})
+        return metrics.classification_metrics(df, *columns)
+
+    monkeypatch.setattr(experiments, "classification_metrics", counted)
+    prepared = experiments.experiment_splits(gappy, "row_key", "preparedness_level", {"kmeans": few, "hierarchical": few})
+    experiments.run_experiments(prepared, trees=2, depth=2, folds=2)
+    test = {r["row_key"] for r in prepared.rows.where("is_test").collect()}
+    assert len(test) > 40 and seen == [test] * 3
+    clusters = {r["row_key"]: r["kmeans_cluster"] for r in prepared.rows.collect()}
+    assert {k % 4 == 0 for k, c in clusters.items() if c == experiments.MISSING_CLUSTER} == {False} and len(clusters) == 240
+
+
 def test_classification_flow_saves_models(spark, rows, tmp_path):
     trainers = {"Random Forest": partial(models.train_random_forest, trees=2, depth=2, folds=2)}
     out = flows.run_classification(rows.drop("target"), trainers=trainers, folds=2, folder=str(tmp_path))
