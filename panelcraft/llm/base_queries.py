@@ -1,10 +1,11 @@
-"""Queries whose results SQL can express: mixing, quality rules, licence scans, shards."""
+"""Queries whose results SQL can express: mixing, quality rules, licence scans, shards, divergence of sources."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from panelcraft.llm.divergence import source_divergence
 from panelcraft.llm.licences import PHRASES, TEMPLATES, scan_licences
 from panelcraft.llm.mixing import mixing_plan
 from panelcraft.llm.rules import quality_rules
@@ -34,6 +35,10 @@ def op10_shards(spark: SparkSession, folder: str) -> DataFrame:
     return interleave(documents(spark, folder))
 
 
+def op12_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return source_divergence(documents(spark, folder))
+
+
 # --- the same results in SQL -------------------------------------------------------------------------------
 
 _WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '')"
@@ -133,5 +138,32 @@ p AS (SELECT *, row_number() OVER (ORDER BY rank, h, doc_id, size, text_crc32, s
 s AS (SELECT *, place * 24 // total AS shard FROM p)
 SELECT doc_id, size, text_crc32, 'rows' AS law, shard, place - (shard * total + 23) // 24 AS slot, NULL::INT AS grown_shard, source FROM s"""
 
-QUERIES = {"op1_mix": op1_mix, "op5_quality_rules": op5_quality_rules, "op6_licences": op6_licences, "op10_shards": op10_shards}
-ORACLES = {"op1_mix": MIX_SQL, "op5_quality_rules": RULES_SQL, "op6_licences": LICENCES_SQL, "op10_shards": SHARDS_SQL}
+DIVERGENCE_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS ws FROM documents),
+t AS (SELECT id, lang, source, unnest(ws) AS term FROM d),
+c AS (SELECT lang, source, term, count(*)::HUGEINT AS n, count(DISTINCT id) AS docs FROM t GROUP BY ALL),
+k AS (SELECT lang, term, sum(n)::HUGEINT AS n FROM c GROUP BY ALL HAVING sum(docs) >= 3),
+g AS (SELECT DISTINCT lang, source FROM d),
+l AS (SELECT lang, count(term)::HUGEINT AS v, coalesce(sum(n), 0)::HUGEINT AS total FROM (SELECT DISTINCT lang FROM g) LEFT JOIN k USING (lang) GROUP BY lang),
+x AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0)::HUGEINT AS n FROM g JOIN k USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+s AS (SELECT lang, source, sum(n)::HUGEINT AS total FROM x GROUP BY ALL),
+p AS (SELECT x.*, 1 + 1000000000::HUGEINT * (n + 1) // (s.total + v) AS p FROM x JOIN s USING (lang, source) JOIN l USING (lang)),
+q AS (SELECT lang, term, 1 + 1000000000::HUGEINT * (k.n + 1) // (total + v) AS q FROM k JOIN l USING (lang)),
+far AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, coalesce(value, 0)::BIGINT AS value FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN far ON far.lang = a.lang AND far.source = a.source AND far.item = b.source),
+marks AS (SELECT p.lang, p.source, p.term AS item, ((p - q) * (p - q) // q)::BIGINT AS value FROM p JOIN q USING (lang, term) WHERE n > 0 AND p > q),
+r AS (
+  SELECT lang, source, 'pair' AS part, item, value, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item)::INT AS rank FROM pairs
+  UNION ALL
+  SELECT lang, source, 'term', item, value, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item)::INT FROM marks)
+SELECT * FROM r WHERE part = 'pair' OR rank <= 200"""
+
+QUERIES = {"op1_mix": op1_mix, "op5_quality_rules": op5_quality_rules, "op6_licences": op6_licences, "op10_shards": op10_shards, "op12_divergence": op12_divergence}
+ORACLES = {"op1_mix": MIX_SQL, "op5_quality_rules": RULES_SQL, "op6_licences": LICENCES_SQL, "op10_shards": SHARDS_SQL, "op12_divergence": DIVERGENCE_SQL}

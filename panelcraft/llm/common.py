@@ -9,7 +9,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelcraft.session import cut_lineage
+from panelcraft.session import cut_lineage, scratch_folder
 
 SPACES = r"[\x20\x09-\x0D]+"
 #: Words kept per task by a ``WordHashes``; a larger vocabulary starts it afresh, so memory stays bounded.
@@ -38,6 +38,13 @@ def meet_small(rows: DataFrame, small: DataFrame, on: Column, how: str, most_row
     return rows.join(F.broadcast(stored) if stored.count() <= most_rows else stored, on, how)
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a written table in the shared folder: lost executors do not take it along."""
+    folder = scratch_folder(df.sparkSession, name)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
 def seeded_fraction(key: Column, seed: int) -> Column:
     """A number in [0, 1) that depends on the key and the seed only; the same in any SQL engine with md5."""
     digest = F.md5(F.concat_ws("-", F.coalesce(key.cast("string"), F.lit("null")), F.lit(str(seed))))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from panelcraft.llm import transducer
+from panelcraft.llm.alignment import align
 from panelcraft.llm.base_queries import documents
 from panelcraft.llm.bytes_dedup import remove_repeated_bytes
 from panelcraft.llm.classifier import classify, fit_classifier, fold
@@ -58,8 +60,22 @@ def op9_pieces(spark: SparkSession, folder: str) -> DataFrame:
     return coded(documents(spark, folder)).select("doc_id", "n_pieces", "ids", "same")
 
 
+def op11_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    """How the tokens of two tokenizers correspond in each document; its groups as a digest."""
+    found = align(documents(spark, folder))
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2(F.col("groups").cast("binary"), 256))
+    return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", digest.alias("groups_sha256"))
+
+
+def op13_word_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    """Digests of the ids of each document and of the text that they decode to."""
+    found = transducer.code(documents(spark, folder))
+    n = (F.length("ids") / 4).cast("long")
+    return found.select("doc_id", n.alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
 QUERIES = {
     "op2_embeddings": op2_embeddings, "op3_substrings": op3_substrings, "op4_jaccard": op4_jaccard, "op7_passages": op7_passages, "op8_quality": op8_quality,
-    "op9_pieces": op9_pieces,
+    "op9_pieces": op9_pieces, "op11_alignment": op11_alignment, "op13_word_bpe": op13_word_bpe,
 }
 ORACLES: dict[str, str] = {}
