@@ -7,9 +7,10 @@ Groups end where tokens of both end together: those two are linked, and the link
 
 from __future__ import annotations
 
+import json
 import os
 import re
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -24,11 +25,13 @@ from panelcraft.llm.common import stored
 BYTE_TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
 PIECE_TOKENIZER = "/opt/tokenizers/piece_bpe_32k.model"
 #: Bytes of text that are aligned at once, and whose distinct links are counted together; a longer text stands alone.
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 1 << 20
 #: Characters given to a tokenizer at once, where a text can be cut without changing its tokens.
-PART = 1 << 18
-#: The highest bit of a stored id marks the last token of a group.
-LAST = np.uint32(1 << 31)
+PART = 1 << 16
+#: Fixed value: how a byte-level tokenizer finds words.
+WORDS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+LONG_WORD = 500
+_OTHER = re.compile("[^\t\n\r -~\xa0-\u024f\u2010-\u2026]")
 _CUT = re.compile(r"(?<=[a-z]) (?=[a-z])")
 _BYTE_PIECE = re.compile(r"<0x([0-9A-F]{2})>")
 
@@ -37,17 +40,26 @@ _BYTE_PIECE = re.compile(r"<0x([0-9A-F]{2})>")
 class Side:
     """A tokenizer: ids of texts, and the bytes of its tokens."""
 
-    encode: object
+    encode: Callable[[str], np.ndarray]
     spelled: list[bytes]
 
     def __post_init__(self) -> None:
         self.lengths = np.array([len(t) for t in self.spelled], np.int64)
+        self.table = np.array(self.spelled, object)
+
+    def spell(self, ids: np.ndarray) -> bytes:
+        return b"".join(self.table[ids].tolist())
 
 
 @lru_cache(maxsize=1)
 def byte_side(content: bytes) -> Side:
-    """A byte-level tokenizer file; special tokens inside texts are plain text."""
+    """A byte-level tokenizer file; special tokens inside texts are plain text.
+
+    Where the ids of tokens are the order of the merges, a faster library gives the same ids for texts of Latin letters
+    and words of usual length; all other texts go to the library of the file.
+    """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+    import tiktoken
     from tokenizers import Tokenizer
     from tokenizers.pre_tokenizers import ByteLevel
 
@@ -61,26 +73,21 @@ def byte_side(content: bytes) -> Side:
     rest = iter(sorted(set(range(256)) - set(own.values())))
     own.update({c: next(rest) for c in letters if ord(c) >= 256})
     spelled = [b""] * made.get_vocab_size()
-    for token, i in made.get_vocab(with_added_tokens=False).items():
+    vocab = made.get_vocab(with_added_tokens=False)
+    for token, i in vocab.items():
         spelled[i] = bytes(own[c] for c in token)
-
-    def encode(texts: list[str]) -> list[list[int]]:
-        parts, owner = [], []
-        for k, text in enumerate(texts):
-            own_parts = cut(" " + text)
-            parts.extend(own_parts)
-            owner.extend([k] * len(own_parts))
-        out: list[list[int]] = [[] for _ in texts]
-        start = 0
-        while start < len(parts):
-            end, size = start, 0
-            while end < len(parts) and (end == start or size + len(parts[end]) <= PART):
-                size += len(parts[end])
-                end += 1
-            for k, e in zip(owner[start:end], made.encode_batch_fast(parts[start:end], add_special_tokens=False)):
-                out[k].extend(e.ids)
-            start = end
-        return out
+    quick = None
+    j = json.loads(content)
+    merges = [m if isinstance(m, str) else " ".join(m) for m in j["model"]["merges"]]
+    level = j["pre_tokenizer"]
+    if level["type"] == "ByteLevel" and level["use_regex"] and not level["add_prefix_space"] and j["normalizer"] is None and [vocab[m.replace(" ", "")] for m in merges] == list(range(256, 256 + len(merges))):
+        quick = tiktoken.Encoding("bytes", pat_str=WORDS, mergeable_ranks={spelled[i]: i for i in vocab.values()}, special_tokens={})
+
+    def encode(text: str) -> np.ndarray:
+        if quick and not _OTHER.search(text) and max(map(len, text.split()), default=0) <= LONG_WORD:
+            return quick.encode_to_numpy(" " + text, disallowed_special=())
+        # one part at a time: what this library makes of it besides ids is large, and goes at once
+        return np.concatenate([np.array(made.encode_batch_fast([p], add_special_tokens=False)[0].ids, np.uint32) for p in cut(" " + text)])
 
     return Side(encode, spelled)
 
@@ -108,7 +115,7 @@ def piece_side(content: bytes) -> Side:
         piece = model.id_to_piece(i)
         byte = _BYTE_PIECE.fullmatch(piece) if model.is_byte(i) else None
         spelled.append(bytes([int(byte[1], 16)]) if byte else piece.replace("▁", " ").encode())
-    return Side(lambda texts: model.encode(texts, num_threads=1), spelled)
+    return Side(lambda text: np.array(model.encode(text, num_threads=1), np.uint32), spelled)
 
 
 def last_tokens(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -130,34 +137,45 @@ def last_tokens(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.
         to = farther
 
 
-def _chunk(texts: list[str | None], a: Side, b: Side) -> tuple[list[bytes], list[bytes], np.ndarray, np.ndarray]:
-    """Ids of both sides by text, the last of each group marked, and the distinct links with their numbers."""
-    use = [k for k, t in enumerate(texts) if t]
-    own = [texts[k] for k in use]
-    ids_a, ids_b, places = [], [], []
-    for k, t, x, y in zip(use, own, a.encode(own), b.encode(own)):
-        whole = b" " + t.encode()
-        if b"".join([a.spelled[i] for i in x]) == whole == b"".join([b.spelled[i] for i in y]):
-            ids_a.append(x)
-            ids_b.append(y)
-            places.append(k)
-    out_a, out_b = [b""] * len(texts), [b""] * len(texts)
+@dataclass
+class _Chunk:
+    """Tokens of some texts: ids, which tokens end a group, and the distinct links with their numbers."""
+
+    ids: list[list[bytes]]
+    last: list[list[bytes]]
+    link: np.ndarray
+    times: np.ndarray
+
+
+def _chunk(texts: list[str | None], sides: Sequence[Side]) -> _Chunk:
+    found, places = ([], []), []
+    for k, t in enumerate(texts):
+        if t:
+            whole = b" " + t.encode()
+            own = [side.encode(t) for side in sides]
+            if all(side.spell(ids) == whole for side, ids in zip(sides, own)):
+                places.append(k)
+                found[0].append(own[0])
+                found[1].append(own[1])
+    out = _Chunk([[b""] * len(texts) for _ in sides], [[b""] * len(texts) for _ in sides], np.zeros(0, np.int64), np.zeros(0, np.int64))
     if not places:
-        return out_a, out_b, np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return out
     # texts lie end to end: all tokens of a text end where the tokens of the other side do
-    flat_a, flat_b = (np.array([i for x in ids for i in x], np.uint32) for ids in (ids_a, ids_b))
-    to_a, to_b = last_tokens(np.cumsum(a.lengths[flat_a]), np.cumsum(b.lengths[flat_b]))
-    n = len(flat_a)
-    last_a = to_a == np.arange(n)
-    last_b = np.append(to_b[1:] != to_b[:-1], True)
-    link, times = np.unique(flat_a[last_a].astype(np.int64) << 32 | flat_b[last_b].astype(np.int64), return_counts=True)
-    flat_a[last_a] |= LAST
-    flat_b[last_b] |= LAST
-    for out, flat, ids in ((out_a, flat_a, ids_a), (out_b, flat_b, ids_b)):
-        at = np.cumsum([0, *map(len, ids)]).tolist()
-        for k, i, j in zip(places, at, at[1:]):
-            out[k] = flat[i:j].astype("<u4").tobytes()
-    return out_a, out_b, link, times
+    flat = [np.concatenate(ids) for ids in found]
+    to_a, to_b = last_tokens(*[np.cumsum(side.lengths[ids]) for side, ids in zip(sides, flat)])
+    last = to_a == np.arange(len(to_a)), np.append(to_b[1:] != to_b[:-1], True)
+    out.link, out.times = np.unique(flat[0][last[0]].astype(np.int64) << 32 | flat[1][last[1]].astype(np.int64), return_counts=True)
+    for k, side in enumerate(sides):
+        at = np.cumsum([0, *map(len, found[k])]).tolist()
+        packed = flat[k].astype(stored_type(len(side.spelled)))
+        for place, i, j in zip(places, at, at[1:]):
+            out.ids[k][place], out.last[k][place] = packed[i:j].tobytes(), np.packbits(last[k][i:j]).tobytes()
+    return out
+
+
+def stored_type(vocabulary: int) -> str:
+    """The smallest unsigned type, little-endian, for the ids of a vocabulary."""
+    return "<u2" if vocabulary <= 1 << 16 else "<u4"
 
 
 def _aligned(a, b, chunk_bytes: int):
@@ -167,11 +185,11 @@ def _aligned(a, b, chunk_bytes: int):
             texts = batch.column("text")
             sizes = np.diff(np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1]) if len(texts) else np.zeros(0)
             for start, end in blocks(sizes, chunk_bytes):
-                ids_a, ids_b, link, times = _chunk(texts.slice(start, end - start).to_pylist(), *sides)
+                c = _chunk(texts.slice(start, end - start).to_pylist(), sides)
                 n, first = end - start, lambda v, n: pa.array([v, *[None] * (n - 1)], pa.list_(pa.int64()))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([part << 32 | made] * n, pa.int64()), batch.column("row").slice(start, n), pa.array(ids_a, pa.binary()), pa.array(ids_b, pa.binary()),
-                     first(link, n), first(times, n)], names=["chunk", "row", "a", "b", "link", "times"],
+                    [pa.array([part << 32 | made] * n, pa.int64()), batch.column("row").slice(start, n), *[pa.array(v, pa.binary()) for v in (*c.ids, *c.last)],
+                     first(c.link, n), first(c.times, n)], names=["chunk", "row", "a", "b", "last_a", "last_b", "link", "times"],
                 )
                 made += 1
 
@@ -194,13 +212,13 @@ def _finished(vocab_a: int, vocab_b: int):
     def run(key, docs: pa.Table, known: pa.Table) -> pa.Table:
         docs, known = docs.combine_chunks(), known.sort_by("link")
         link, n, best = known["link"].to_numpy(), known["n"].to_numpy(), known["best"].to_numpy()
-        sides, counts = [], []
-        for c in ("a", "b"):
-            values = [v.as_buffer() for v in docs[c]]
-            counts.append(np.array([len(v) // 4 for v in values], np.int64))
-            sides.append(np.frombuffer(b"".join(values), "<u4"))
-        last = [x >= LAST for x in sides]
-        ids = [(x & ~LAST).astype(np.int64) for x in sides]
+        ids, last, counts = [], [], []
+        for c, kind in (("a", stored_type(vocab_a)), ("b", stored_type(vocab_b))):
+            own = [np.frombuffer(v, kind) for v in docs[c].to_pylist()]
+            marks = [np.unpackbits(np.frombuffer(v, np.uint8), count=len(x)) for v, x in zip(docs[f"last_{c}"].to_pylist(), own)]
+            counts.append(np.array([len(x) for x in own], np.int64))
+            ids.append(np.concatenate(own).astype(np.int64))
+            last.append(np.concatenate(marks).astype(bool))
         at = np.searchsorted(link, ids[0][last[0]] << 32 | ids[1][last[1]])
         # places in the texts of the groups: all tokens of one side in groups before, or up to, the own one
         group = [np.cumsum(x) - x for x in last]
@@ -250,13 +268,13 @@ def align(
     sent = [context.broadcast(f) for f in files]
     rows = docs.select(F.struct(*keep).alias("row"), F.col(text).cast("string").alias("text"))
     kept = rows.schema["row"].dataType.simpleString()
-    coded = stored(rows.mapInArrow(_aligned(*sent, chunk_bytes), f"chunk long, row {kept}, a binary, b binary, link array<long>, times array<long>"), "aligned")
+    coded = stored(rows.mapInArrow(_aligned(*sent, chunk_bytes), f"chunk long, row {kept}, a binary, b binary, last_a binary, last_b binary, link array<long>, times array<long>"), "aligned")
     links = coded.where("link IS NOT NULL").select(F.col("chunk").alias("of"), F.inline(F.arrays_zip("link", "times")))
     counted = links.groupBy("link").agg(F.sum("times").alias("n")).withColumn("b_id", F.col("link").bitwiseAND(F.lit((1 << 32) - 1)))
     most = counted.groupBy("b_id").agg(F.max("n").alias("most"))
     known = links.select("of", "link").join(counted.join(most, "b_id").select("link", "n", (F.col("n") == F.col("most")).alias("best")), "link")
     vocab = len(byte_side(files[0]).spelled), len(piece_side(files[1]).spelled)
     schema = f"row {kept}, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups string"
-    texts = coded.select("chunk", "row", "a", "b")
+    texts = coded.select("chunk", "row", "a", "b", "last_a", "last_b")
     met = texts.groupBy("chunk").cogroup(known.select("of", "link", "n", F.col("best").cast("int").alias("best")).groupBy("of")).applyInArrow(_finished(*vocab), schema)
     return met.select(*[F.col("row")[c].alias(c) for c in keep], *results)

@@ -12,6 +12,8 @@ import codecs
 import heapq
 import json
 import re
+import struct
+import unicodedata
 from bisect import bisect_left
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
@@ -27,13 +29,15 @@ from tokenizers import Regex, normalizers, pre_tokenizers
 
 TOKENIZER = "/opt/tokenizers/word_bpe_49k.json"
 #: Words that a task remembers, and the length of the longest of them; beyond it starts afresh.
-REMEMBERED, LONGEST_REMEMBERED = 200_000, 64
+REMEMBERED, LONGEST_REMEMBERED = 400_000, 64
 #: A merge as one number: its rank, then the token it makes; and none.
 RANK_SHIFT, MADE, NEVER = 24, (1 << 24) - 1, 1 << 60
 #: Symbols taken in at a time, besides the lookahead.
 BLOCK = 512
 #: Words up to this length are merged by looking through their pairs, longer ones with a heap.
 SHORT = 24
+#: Characters before this one are in normal form by themselves, and their kinds are settled.
+LATIN = 0x180
 #: Bytes of decoded text in one batch of results.
 BATCH_BYTES = 32 << 20
 #: Control characters that Python takes for white space, and Unicode does not.
@@ -212,8 +216,15 @@ class WordIds(dict):
         self.model = model
 
     def __missing__(self, word: str) -> bytes:
-        encoder = WordEncoder(self.model)
-        found = np.array([*encoder.feed(word.encode()), *encoder.close()], "<u4").tobytes()
+        raw, model = word.encode(), self.model
+        if len(raw) <= SHORT:  # shorter than any lookahead: the stream would begin at its end
+            symbols = [*map(model.first.__getitem__, raw)]
+            symbols[-1] = model.last[raw[-1]]
+            tokens = _merged_short(symbols, model.merges)[0]
+        else:
+            encoder = WordEncoder(model)
+            tokens = [*encoder.feed(raw), *encoder.close()]
+        found = packed(tokens)
         if len(word) <= LONGEST_REMEMBERED:
             if len(self) >= REMEMBERED:
                 self.clear()
@@ -221,6 +232,11 @@ class WordIds(dict):
         return found
 
 
+def packed(ids: list[int]) -> bytes:
+    """Ids as unsigned 32-bit numbers, little-endian."""
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class TextEncoder(dict):
     """Part of a text without white space -> its ids, 4 bytes each, remembered while they fit. Normal forms, words
     and merges never cross white space, so the ids of a text are those of its parts, end to end."""
@@ -229,14 +245,18 @@ class TextEncoder(dict):
         super().__init__()
         self.model, self.ids = model, WordIds(model)
         self.special = re.compile("(" + "|".join(re.escape(t) for t in sorted(model.special, key=len, reverse=True)) + ")") if model.special else None
-        self.words = re.compile(model.pattern.replace(r"\p{L}", "a-z").replace(r"\p{N}", "0-9"), re.ASCII)
-        # what is not ASCII depends on the version of Unicode: normal forms and words are the library's
+        kinds = {k: "".join(re.escape(chr(c)) for c in range(LATIN) if unicodedata.category(chr(c))[0] == k) for k in "LN"}
+        spaces = "\t-\r \x85\xa0"
+        pattern = model.pattern.replace(r"\p{L}", kinds["L"]).replace(r"\p{N}", kinds["N"]).replace(r"\s", spaces)
+        self.words = re.compile(pattern).findall
+        self.beyond = re.compile(f"[^\0-{chr(LATIN - 1)}]").search
+        # beyond Latin letters, normal forms and words depend on the version of Unicode: they are the library's
         self.normal = normalizers.Sequence([normalizers.NFC(), normalizers.Replace(Regex(r"\s+"), " "), normalizers.Lowercase()])
         self.split = pre_tokenizers.Split(Regex(model.pattern), "removed", invert=True)
 
     def __missing__(self, part: str) -> bytes:
-        if part.isascii() and not (self.special and self.special.search(part)):
-            words = self.words.findall(part.lower())
+        if not self.beyond(part) and not (self.special and self.special.search(part)):
+            words = self.words(part.lower())
             found = self.ids[words[0]] if len(words) == 1 else b"".join([self.ids[w] for w in words])
         else:
             found = b"".join([self._span(s) for s in (self.special.split(part) if self.special else [part])])
@@ -250,7 +270,7 @@ class TextEncoder(dict):
         """Ids of a special token, or of the words between two."""
         known = self.model.special.get(span)
         if known is not None:
-            return np.array([known], "<u4").tobytes()
+            return packed([known])
         return b"".join([self.ids[w] for w, _ in self.split.pre_tokenize_str(self.normal.normalize_str(span))])
 
     def encode(self, text: str) -> bytes:
