@@ -16,6 +16,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -139,7 +140,7 @@ def last_tokens(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.
 
 @dataclass
 class _Chunk:
-    """Tokens of some texts: ids, which tokens end a group, and the distinct links with their numbers."""
+    """Tokens of some texts: ids, compressed, which tokens end a group, and the distinct links with their numbers."""
 
     ids: list[list[bytes]]
     last: list[list[bytes]]
@@ -167,9 +168,9 @@ def _chunk(texts: list[str | None], sides: Sequence[Side]) -> _Chunk:
     out.link, out.times = np.unique(flat[0][last[0]].astype(np.int64) << 32 | flat[1][last[1]].astype(np.int64), return_counts=True)
     for k, side in enumerate(sides):
         at = np.cumsum([0, *map(len, found[k])]).tolist()
-        packed = flat[k].astype(stored_type(len(side.spelled)))
+        packed, shrink = flat[k].astype(stored_type(len(side.spelled))), zstandard.ZstdCompressor(level=1).compress
         for place, i, j in zip(places, at, at[1:]):
-            out.ids[k][place], out.last[k][place] = packed[i:j].tobytes(), np.packbits(last[k][i:j]).tobytes()
+            out.ids[k][place], out.last[k][place] = shrink(packed[i:j].tobytes()), np.packbits(last[k][i:j]).tobytes()
     return out
 
 
@@ -212,9 +213,9 @@ def _finished(vocab_a: int, vocab_b: int):
     def run(key, docs: pa.Table, known: pa.Table) -> pa.Table:
         docs, known = docs.combine_chunks(), known.sort_by("link")
         link, n, best = known["link"].to_numpy(), known["n"].to_numpy(), known["best"].to_numpy()
-        ids, last, counts = [], [], []
+        ids, last, counts, widen = [], [], [], zstandard.ZstdDecompressor().decompress
         for c, kind in (("a", stored_type(vocab_a)), ("b", stored_type(vocab_b))):
-            own = [np.frombuffer(v, kind) for v in docs[c].to_pylist()]
+            own = [np.frombuffer(widen(v) if v else b"", kind) for v in docs[c].to_pylist()]
             marks = [np.unpackbits(np.frombuffer(v, np.uint8), count=len(x)) for v, x in zip(docs[f"last_{c}"].to_pylist(), own)]
             counts.append(np.array([len(x) for x in own], np.int64))
             ids.append(np.concatenate(own).astype(np.int64))
