@@ -10,7 +10,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from panel_queries.base import query
+from panel_queries.base import query, r
 from panel_queries.derive import TARGET_STEPS, raw_tables
 from panelcraft.functions.scalars import unit_interval
 from panelcraft.operators import clustering, experiments, metrics, models, reduction, splits, tuning
@@ -22,13 +22,33 @@ from panelcraft.sources import sinks
 
 
 def scored_orders(t):
-    """Orders with customer context, a three-class level and a numeric capacity target."""
-    joined = t.orders.join(t.customer.select("c_custkey", "c_acctbal", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"))
-    score = (unit_interval(F.col("o_totalprice") / 450000) + unit_interval(F.col("c_acctbal") / 10000)) / 2
-    return joined.select(
-        F.col("o_orderkey").alias("row_key"), "o_totalprice", "c_acctbal", "c_nationkey", "c_custkey",
-        level_of(score).alias("preparedness_level"), (F.col("o_totalprice") / 9000 + F.col("c_acctbal") / 200).alias("healthcare_capacity_score"),
+    """Orders with three inputs of few values each, and targets that follow from them: the level from the priority alone,
+    with a gap between the classes, the capacity linearly from all three. What a model must find is therefore known."""
+    joined = t.orders.join(t.customer.select("c_custkey", "c_mktsegment"), F.col("o_custkey") == F.col("c_custkey"))
+    place = lambda c, values: F.array_position(F.array(*map(F.lit, values)), F.col(c)).cast("double")
+    priority = F.substring("o_orderpriority", 1, 1).cast("double")
+    rows = joined.select(
+        F.col("o_orderkey").alias("row_key"), priority.alias("priority"), place("o_orderstatus", "FOP").alias("status"),
+        F.ascii("c_mktsegment").cast("double").alias("segment"),
     )
+    score = F.when(F.col("priority") <= 2, 0.2).when(F.col("priority") <= 3, 0.5).otherwise(0.9)
+    capacity = 10 + 3 * F.col("priority") - 2 * F.col("status") + 0.5 * (F.col("segment") - 65)
+    return rows.withColumns({"preparedness_level": level_of(score), "healthcare_capacity_score": capacity})
+
+
+def _perfect(*names):
+    """Rows of models that are right about every test row."""
+    columns = ("accuracy", "precision_weighted", "recall_weighted", "f1_weighted", "roc_auc_ovr")
+    return " UNION ALL ".join(f"SELECT '{n}' AS model, " + ", ".join(f"1.0::DOUBLE AS {c}" for c in columns) for n in names)
+
+
+def _exact(*names):
+    """Rows of models that are right about every test value, to two decimals of R2."""
+    return " UNION ALL ".join(f"SELECT '{n}' AS model, 1.0::DOUBLE AS r2" for n in names)
+
+
+def _class_scores(evaluation):
+    return evaluation.select("model", *[r(c, 3) for c in ("accuracy", "precision_weighted", "recall_weighted", "f1_weighted", "roc_auc_ovr")])
 
 
 def class_rows(t, folds=models.FOLDS):
@@ -52,30 +72,30 @@ def _classified(t, name, train):
     out = tuned.model.transform(test)
     scored = out.select("label", "prediction", models.class_probabilities(out).alias("p"))
     union = metrics.union_scored({name: scored}, scored.columns)
-    return metrics.evaluate_classifiers(union, "label", "prediction", {float(i): F.col("p")[i] for i in range(3)})
+    return _class_scores(metrics.evaluate_classifiers(union, "label", "prediction", {float(i): F.col("p")[i] for i in range(3)}))
 
 
-@query("m1_logistic_regression")
+@query("m1_logistic_regression", _perfect("logistic"))
 def _(t):
     return _classified(t, "logistic", models.train_logistic)
 
 
-@query("m2_random_forest")
+@query("m2_random_forest", _perfect("forest"))
 def _(t):
     return _classified(t, "forest", models.train_random_forest)
 
 
-@query("m3_boosted_subspace")
+@query("m3_boosted_subspace", _perfect("boosted"))
 def _(t):
     return _classified(t, "boosted", models.train_boosted_subspace)
 
 
-@query("m4_kernel_svm")
+@query("m4_kernel_svm", _perfect("svm"))
 def _(t):
     return _classified(t, "svm", models.train_kernel_svm)
 
 
-@query("m5_gradient_boosting")
+@query("m5_gradient_boosting", _perfect("boosting"))
 def _(t):
     return _classified(t, "boosting", models.train_gradient_boosting)
 
@@ -83,20 +103,21 @@ def _(t):
 def _regressed(t, name, train):
     rows, test = value_rows(t)
     scored = train(rows).model.transform(test)
-    return metrics.evaluate_regressors(metrics.union_scored({name: scored}, ["label", "prediction"]), "label", "prediction")
+    found = metrics.evaluate_regressors(metrics.union_scored({name: scored}, ["label", "prediction"]), "label", "prediction")
+    return found.select("model", r("r2", 2))
 
 
-@query("r3_forest_regressor")
+@query("r3_forest_regressor", _exact("forest"))
 def _(t):
     return _regressed(t, "forest", models.train_forest_regressor)
 
 
-@query("r4_boosted_subspace_regressor")
+@query("r4_boosted_subspace_regressor", _exact("boosted"))
 def _(t):
     return _regressed(t, "boosted", partial(models.train_boosted_regressor, columns="0.8"))
 
 
-@query("r5_gradient_boosting_regressor")
+@query("r5_gradient_boosting_regressor", _exact("boosting"))
 def _(t):
     return _regressed(t, "boosting", models.train_boosted_regressor)
 
@@ -134,27 +155,30 @@ def _(t):
 # ------------------------------------------------------------------------------------------ tuning
 
 
-@query("t6_grid_search")
+@query(
+    "t6_grid_search",
+    "SELECT strength::DOUBLE AS strength, 1.0::DOUBLE AS cv_mean, 0.0::DOUBLE AS cv_std FROM (VALUES (0.1), (1.0)) v(strength)",
+)
 def _(t):
     """One row per grid point: mean and std of the fold scores."""
     rows, _test = class_rows(t)
     tuned = models.train_logistic(rows, strengths=(0.1, 1.0))
     table = [(c, m, s) for c, m, s in zip((0.1, 1.0), tuned.grid_means, tuned.grid_stds)]
-    return t.spark.createDataFrame(table, "strength double, cv_mean double, cv_std double")
+    return t.spark.createDataFrame(table, "strength double, cv_mean double, cv_std double").select("strength", r("cv_mean", 3), r("cv_std", 3))
 
 
-@query("t7_cross_val_score")
+@query("t7_cross_val_score", "SELECT 1.0::DOUBLE AS cv_mean, 0.0::DOUBLE AS cv_std")
 def _(t):
     rows, _test = class_rows(t, folds=5)
     mean, std = tuning.cross_val_score(models.random_forest(), tuning.accuracy(), rows, folds=5)
     return t.spark.createDataFrame([(mean, std)], "cv_mean double, cv_std double")
 
 
-@query("x7_cv_summary")
+@query("x7_cv_summary", "SELECT 'ridge' AS model, 1.0::DOUBLE AS cv_mean, 0.0::DOUBLE AS cv_std, '{''alpha'': 1.0, ''fit_intercept'': True}' AS params")
 def _(t):
     rows, _test = value_rows(t)
     tuned = models.train_ridge(rows)
-    return t.spark.createDataFrame([tuned.row("ridge", regression=True)], tuning.TRAINING_SCHEMA).drop("seconds")
+    return t.spark.createDataFrame([tuned.row("ridge", regression=True)], tuning.TRAINING_SCHEMA).select("model", r("cv_mean", 3), r("cv_std", 3), "params")
 
 
 # ------------------------------------------------------------------------------------------ experiments
@@ -176,10 +200,14 @@ def _experiments(t):
     return experiments.run_experiments(prepared)
 
 
-@query("m6_cluster_experiments")
+@query(
+    "m6_cluster_experiments",
+    """SELECT experiment, n_features::BIGINT AS n_features, 1.0::DOUBLE AS accuracy, 1.0::DOUBLE AS f1, 1.0::DOUBLE AS cv_mean, 0.0::DOUBLE AS cv_std
+       FROM (VALUES ('baseline', 3), ('kmeans', 4), ('hierarchical', 4)) v(experiment, n_features)""",
+)
 def _(t):
     results, _importance, _models = _experiments(t)
-    return results.drop("seconds")
+    return results.select("experiment", "n_features", *[r(c, 3) for c in ("accuracy", "f1", "cv_mean", "cv_std")])
 
 
 @query("x13_cluster_importance")
@@ -193,10 +221,12 @@ def _forest(t):
     return models.random_forest().fit(rows), test
 
 
-@query("o3_top_importance")
+@query("o3_top_importance", "SELECT 'priority' AS feature, true AS over_half")
 def _(t):
+    """The level follows from the priority alone."""
     model, _test = _forest(t)
-    return models.top_importance(models.importance_table(model, ["o_totalprice", "c_acctbal", "c_nationkey", "c_custkey"], t.spark))
+    top = models.top_importance(models.importance_table(model, ["priority", "status", "segment"], t.spark), 1)
+    return top.select("feature", (F.col("importance") > 0.5).alias("over_half"))
 
 
 # ------------------------------------------------------------------------------------------ sinks
@@ -217,8 +247,8 @@ def _(t):
 
 @query(
     "s4_model_persistence",
-    """WITH s AS (SELECT (LEAST(o_totalprice / 450000, 1) + LEAST(GREATEST(c_acctbal / 10000, 0), 1)) / 2 AS s FROM orders JOIN customer ON o_custkey = c_custkey),
-            c AS (SELECT CASE WHEN s <= 0.4 THEN 'Low' WHEN s <= 0.7 THEN 'Medium' ELSE 'High' END AS level, COUNT(*) AS n FROM s GROUP BY 1)
+    """WITH s AS (SELECT substr(o_orderpriority, 1, 1)::INT AS s FROM orders JOIN customer ON o_custkey = c_custkey),
+            c AS (SELECT CASE WHEN s <= 2 THEN 'Low' WHEN s <= 3 THEN 'Medium' ELSE 'High' END AS level, COUNT(*) AS n FROM s GROUP BY 1)
        SELECT SUM(FLOOR(0.2 * n + 0.5))::BIGINT AS n_rows, SUM(FLOOR(0.2 * n + 0.5))::BIGINT AS n_equal FROM c""",
 )
 def _(t):
@@ -372,15 +402,15 @@ def _(t):
     return parts[0].unionByName(parts[1])
 
 
-@query("g2_classification_flow")
+@query("g2_classification_flow", _perfect(*flows.CLASSIFIERS))
 def _(t):
     rows = scored_orders(t).drop("healthcare_capacity_score")
-    return flows.run_classification(rows)["evaluation"]
+    return _class_scores(flows.run_classification(rows)["evaluation"])
 
 
-@query("g3_regression_flow")
+@query("g3_regression_flow", _exact(*flows.REGRESSORS))
 def _(t):
-    return flows.run_regression(scored_orders(t))["evaluation"]
+    return flows.run_regression(scored_orders(t))["evaluation"].select("model", r("r2", 2))
 
 
 @query("g4_unsupervised_flow")
@@ -396,9 +426,12 @@ def _(t):
     return found["comparison"].drop("seconds", "time_diff")
 
 
-@query("g6_supervised_flow")
+@query(
+    "g6_supervised_flow",
+    " UNION ALL ".join(f"SELECT '{k}' AS kind, '{n}' AS model, 1.0::DOUBLE AS score" for k, ns in (("classification", flows.CLASSIFIERS), ("regression", flows.REGRESSORS)) for n in ns),
+)
 def _(t):
     rows = scored_orders(t)
     found = flows.run_supervised(rows, rows)
-    a = found["classification"]["evaluation"].select("model", F.col("f1_weighted").alias("score"))
-    return a.unionByName(found["regression"]["evaluation"].select("model", F.col("r2").alias("score")))
+    a = found["classification"]["evaluation"].select(F.lit("classification").alias("kind"), "model", F.round("f1_weighted", 2).alias("score"))
+    return a.unionByName(found["regression"]["evaluation"].select(F.lit("regression").alias("kind"), "model", F.round("r2", 2).alias("score")))

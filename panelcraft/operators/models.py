@@ -10,15 +10,16 @@ import numpy as np
 import pandas as pd
 from pyspark.ml import Model
 from pyspark.ml.classification import (
-    GBTClassifier, LinearSVC, LogisticRegression, LogisticRegressionModel, OneVsRest, OneVsRestModel, RandomForestClassifier,
+    LinearSVC, LogisticRegression, LogisticRegressionModel, OneVsRest, OneVsRestModel, RandomForestClassifier,
 )
 from pyspark.ml.feature import StandardScaler, StandardScalerModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.ml.tuning import ParamGridBuilder
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from panelcraft.operators.booster import Boosting, boost, score_summary
 from panelcraft.operators.tuning import Tuned, grid_search, r2, weighted_f1
 
 SEED = 42
@@ -58,14 +59,6 @@ def random_forest(trees: int = 100, depth: int = 20, leaf: int = 1, seed: int =
     )
 
 
-def boosted(trees: int = 100, depth: int = 5, rate: float = 0.1, rows: float = 0.8, columns: str = "all", seed: int = SEED) -> OneVsRest:
-    """Gradient-boosted trees, one against the rest: the tree booster itself is binary."""
-    tree = GBTClassifier(
-        maxIter=trees, maxDepth=depth, stepSize=rate, subsamplingRate=rows, featureSubsetStrategy=columns, seed=seed, maxMemoryInMB=1024
-    )
-    return OneVsRest(classifier=tree, parallelism=2)
-
-
 def train_random_forest(df: DataFrame, trees: int = 100, depth: int = 20, leaf: int = 1, folds: int = FOLDS) -> Tuned:
     est = random_forest(trees, depth, leaf)
     grid = ParamGridBuilder().addGrid(est.numTrees, [trees]).addGrid(est.maxDepth, [depth]).build()
@@ -73,24 +66,32 @@ def train_random_forest(df: DataFrame, trees: int = 100, depth: int = 20, leaf:
 
 
 def train_boosted_subspace(df: DataFrame, trees: int = 100, depth: int = 5, rate: float = 0.1, folds: int = FOLDS) -> Tuned:
-    """Boosting with 80 % of the rows and of the columns per tree."""
-    tuned = grid_search(boosted(trees, depth, rate, columns="0.8"), one_point_grid(), weighted_f1(), df, folds)
-    tuned.best_params = {"trees": trees, "depth": depth, "rate": rate, "rows": 0.8, "columns": 0.8}
-    return tuned
+    """Second-order boosting with 80 % of the rows and, per tree, of the columns; all classes in one model."""
+    return _boosted(df, Boosting(trees, depth, rate, columns=0.8), folds, "f1")
 
 
 def train_gradient_boosting(df: DataFrame, trees: int = 100, depth: int = 5, rate: float = 0.1, folds: int = FOLDS) -> Tuned:
-    tuned = grid_search(boosted(trees, depth, rate), one_point_grid(), weighted_f1(), df, folds)
-    tuned.best_params = {"trees": trees, "depth": depth, "rate": rate, "rows": 0.8}
-    return tuned
+    """Boosting on residuals with 80 % of the rows per tree; all classes in one model."""
+    return _boosted(df, Boosting(trees, depth, rate, second_order=False), folds, "f1")
+
+
+def _boosted(df: DataFrame, p: Boosting, folds: int, score: str) -> Tuned:
+    """The models of the folds and of all rows are trained side by side."""
+    start = time.time()
+    classes = int(df.agg(F.max("label")).first()[0]) + 1 if score == "f1" else 0
+    rows = df.persist()
+    try:
+        model, scores = boost(rows, p, classes, folds)
+    finally:
+        rows.unpersist()
+    mean, std = score_summary(scores, score)
+    params = {"trees": p.rounds, "depth": p.depth, "rate": p.rate, "rows": p.rows, "columns": p.columns}
+    return Tuned(model, params, mean, [mean], [std], time.time() - start)
 
 
 def class_probabilities(df: DataFrame) -> Column:
-    """Array of class probabilities: the model's own, or normalised one-vs-rest scores."""
-    if "probability" in df.columns:
-        return vector_to_array("probability")
-    raw = F.transform(vector_to_array("rawPrediction"), lambda s: 1.0 / (1.0 + F.exp(-2.0 * s)))
-    return F.transform(raw, lambda p: p / F.greatest(F.aggregate(raw, F.lit(0.0), lambda t, x: t + x), F.lit(1e-300)))
+    """Array of class probabilities."""
+    return vector_to_array("probability")
 
 
 def fourier_features(df: DataFrame, column: str, width: int, size: int, gamma: float, seed: int, output: str) -> DataFrame:
@@ -133,6 +134,20 @@ class KernelSvm:
         calibrated = self.calibration.transform(scored)
         return calibrated.drop("scaled", "kernel", "rawPrediction", "calibrated_raw", "calibrated_class")
 
+    def save(self, spark: SparkSession, path: str) -> str:
+        """The three fitted parts and, as a table, what draws the kernel features again."""
+        for part in ("scaler", "margins", "calibration"):
+            getattr(self, part).write().overwrite().save(f"{path}/{part}")
+        kernel = [(self.width, self.size, self.gamma, self.seed)]
+        spark.createDataFrame(kernel, "width int, size int, gamma double, seed long").coalesce(1).write.mode("overwrite").parquet(f"{path}/kernel")
+        return path
+
+    @staticmethod
+    def load(spark: SparkSession, path: str) -> KernelSvm:
+        row = spark.read.parquet(f"{path}/kernel").first()
+        parts = (StandardScalerModel.load(f"{path}/scaler"), OneVsRestModel.load(f"{path}/margins"), LogisticRegressionModel.load(f"{path}/calibration"))
+        return KernelSvm(*parts, row["width"], row["size"], row["gamma"], row["seed"])
+
 
 def kernel_inputs(df: DataFrame, scaler: StandardScalerModel, width: int, size: int, gamma: float, seed: int) -> DataFrame:
     return fourier_features(scaler.transform(df), "scaled", width, size, gamma, seed, "kernel")
@@ -188,12 +203,6 @@ def forest_regressor(trees: int = 100, depth: int = 20, leaf: int = 1, seed: int
     )
 
 
-def boosted_regressor(trees: int = 100, depth: int = 5, rate: float = 0.1, columns: str = "all", seed: int = SEED) -> GBTRegressor:
-    return GBTRegressor(
-        maxIter=trees, maxDepth=depth, stepSize=rate, subsamplingRate=0.8, featureSubsetStrategy=columns, seed=seed, maxMemoryInMB=1024
-    )
-
-
 def train_linear(df: DataFrame, folds: int = FOLDS) -> Tuned:
     tuned = grid_search(linear(), one_point_grid(), r2(), df, folds)
     tuned.best_params = {"fit_intercept": True}
@@ -214,9 +223,9 @@ def train_forest_regressor(df: DataFrame, trees: int = 100, depth: int = 20, fol
 
 
 def train_boosted_regressor(df: DataFrame, trees: int = 100, depth: int = 5, rate: float = 0.1, columns: str = "all", folds: int = FOLDS) -> Tuned:
-    tuned = grid_search(boosted_regressor(trees, depth, rate, columns), one_point_grid(), r2(), df, folds)
-    tuned.best_params = {"trees": trees, "depth": depth, "rate": rate, "columns": columns}
-    return tuned
+    """Boosting on residuals, or, with a share of ``columns`` per tree, second-order boosting."""
+    share = 1.0 if columns == "all" else float(columns)
+    return _boosted(df, Boosting(trees, depth, rate, columns=share, second_order=columns != "all"), folds, "r2")
 
 
 def importance_table(model: Model, inputs: Sequence[str], spark, experiment: str | None = None) -> DataFrame:
