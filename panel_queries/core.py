@@ -33,14 +33,17 @@ ORDERS_SCHEMA = T.StructType(
 @query(
     "s1_csv_scan",
     """SELECT o_orderkey, NULLIF(o_custkey, 0) AS o_custkey, o_totalprice,
-              CASE WHEN o_orderstatus <> 'P' THEN o_orderstatus END AS o_orderstatus FROM orders""",
+              CASE WHEN o_orderstatus <> 'P' THEN o_orderstatus END AS o_orderstatus,
+              o_orderstatus || chr(10) || '"' || o_orderpriority || '", ' || chr(10) || o_orderkey AS note FROM orders""",
 )
 def _(t):
+    """Read back from files whose quoted fields hold line breaks, quotes and commas."""
     path = scratch_folder(t.spark, "csv-scan")
     status = F.when(F.col("o_orderstatus") == "P", "NA").otherwise(F.col("o_orderstatus"))
     customer = F.when(F.col("o_custkey") == 0, "nan").otherwise(F.col("o_custkey").cast("string"))
+    note = F.concat(F.col("o_orderstatus"), F.lit('\n"'), F.col("o_orderpriority"), F.lit('", \n'), F.col("o_orderkey").cast("string"))
     sinks.export_csv(
-        t.orders.select("o_orderkey", customer.alias("o_custkey"), "o_totalprice", status.alias("o_orderstatus")), path
+        t.orders.select("o_orderkey", customer.alias("o_custkey"), "o_totalprice", status.alias("o_orderstatus"), note.alias("note")), path
     )
     return readers.read_csv(t.spark, path, ORDERS_SCHEMA)
 
@@ -358,8 +361,8 @@ def _(t):
 
 @query("a4_quantiles_by_selection", _QUANTILES_SQL)
 def _(t):
-    """Same answer through the exact selection meant for inputs too big for one aggregate."""
-    found = quantiles(t.lineitem, _QUANTILE_COLUMNS, [0.25, 0.5, 0.75, 0.95], small_rows=0, sortable_rows=200)
+    """Same answer with a sketch so coarse that each enclosure holds many values."""
+    found = quantiles(t.lineitem, _QUANTILE_COLUMNS, [0.25, 0.5, 0.75, 0.95], accuracy=50)
     return found.withColumn("value", r("value"))
 
 
@@ -373,7 +376,7 @@ def _(t):
 )
 def _(t):
     found = quantiles(
-        t.lineitem, ["l_extendedprice", "l_tax"], [0.25, 0.75], by=["l_returnflag"], small_rows=0, sortable_rows=500
+        t.lineitem, ["l_extendedprice", "l_tax"], [0.25, 0.75], by=["l_returnflag"], accuracy=50
     )
     return found.withColumn("value", r("value"))
 
@@ -577,7 +580,7 @@ def _(t):
 @query("c7_clean_cases_at_scale", _CLEAN_CASES_SQL)
 def _(t):
     """Split entities and exact selection instead of one window and one aggregate per column."""
-    return _clean_cases(t, max_rows=500, small_rows=0)
+    return _clean_cases(t, max_rows=500)
 
 
 @query(

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from panelcraft.functions.columns import ColumnRoles, numeric_columns
 from panelcraft.functions.scalars import clamp
 from panelcraft.operators.panel_windows import MAX_ROWS, PanelKey, forward_fill
-from panelcraft.operators.quantiles import SMALL_ROWS, quantile_table
+from panelcraft.operators.quantiles import quantile_table
 
 SPARSE_THRESHOLD = 0.7
 CLIP_FACTOR = 3.0
@@ -110,7 +110,6 @@ class Cleaner:
     key: PanelKey = field(default_factory=PanelKey)
     sparse_threshold: float = SPARSE_THRESHOLD
     clip_factor: float = CLIP_FACTOR
-    small_rows: int = SMALL_ROWS
     max_rows: int = MAX_ROWS
     dropped: list[str] = field(default_factory=list)
     medians: dict[str, float | None] = field(default_factory=dict)
@@ -123,7 +122,7 @@ class Cleaner:
         self.may_be_hot = rows > self.max_rows
         self.dropped = sparse_columns(counts, self.sparse_threshold)
         filled = self._carried(df.drop(*self.dropped))
-        options = {"rows": rows, "small_rows": self.small_rows}
+        options = {"rows": rows}
         gappy = [c for c in self._group(filled, self.median_group) if counts[c]]
         clipped = self._group(filled, self.clip_group)
         if set(gappy) & set(clipped):  # quartiles of an imputed column depend on its median: two jobs

@@ -16,7 +16,7 @@ from panelcraft.functions.columns import columns_matching, numeric_columns
 from panelcraft.functions.scalars import (
     imbalance_band, missing_band, null_severity, quality_score, quality_status, right_closed_bins,
 )
-from panelcraft.operators.quantiles import SMALL_ROWS, quantile_table
+from panelcraft.operators.quantiles import quantile_table
 
 KEY_MEASURE_KEYWORDS = ("cases", "deaths", "tests", "positive", "hospitalized", "icu", "vaccin")
 
@@ -91,10 +91,10 @@ def top_values(df: DataFrame, column: str, k: int = 10) -> DataFrame:
     return counted.orderBy(F.desc("n"), column).limit(k)
 
 
-def describe(df: DataFrame, columns: Sequence[str], small_rows: int = SMALL_ROWS) -> DataFrame:
+def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Tidy count, mean, sample std, min, quartiles, max and coefficient of variation (%)."""
     columns = list(columns)
-    q = quantile_table(df, columns, [0.25, 0.5, 0.75], small_rows=small_rows)
+    q = quantile_table(df, columns, [0.25, 0.5, 0.75])
     aggs = []
     for i, c in enumerate(columns):
         x = F.col(c).cast("double")
@@ -159,9 +159,9 @@ def imbalance(df: DataFrame, column: str) -> DataFrame:
     return row.withColumn("ratio", ratio).withColumn("balance", imbalance_band("ratio"))
 
 
-def quartile_bins(df: DataFrame, column: str, labels: Sequence[str] = ("Q1", "Q2", "Q3", "Q4"), small_rows: int = SMALL_ROWS) -> DataFrame:
+def quartile_bins(df: DataFrame, column: str, labels: Sequence[str] = ("Q1", "Q2", "Q3", "Q4")) -> DataFrame:
     """Rows per quartile bin (right-closed, minimum included) and their share of the present values."""
-    q = quantile_table(df, [column], [0.0, 0.25, 0.5, 0.75, 1.0], small_rows=small_rows)[column]
+    q = quantile_table(df, [column], [0.0, 0.25, 0.5, 0.75, 1.0])[column]
     edges = [q[p] for p in (0.0, 0.25, 0.5, 0.75, 1.0)]
     if edges[0] is None:
         return df.sparkSession.createDataFrame([], "bin string, n long, pct double")
@@ -209,9 +209,9 @@ def quality_report(df: DataFrame) -> DataFrame:
     return scored.withColumn("status", quality_status("score"))
 
 
-def target_summary(df: DataFrame, target: str, small_rows: int = SMALL_ROWS) -> DataFrame:
+def target_summary(df: DataFrame, target: str) -> DataFrame:
     """Class shares of a text target, or the description of a numeric one."""
-    return describe(df, [target], small_rows) if target in numeric_columns(df) else value_counts(df, target)
+    return describe(df, [target]) if target in numeric_columns(df) else value_counts(df, target)
 
 
 def normality(df: DataFrame, column: str, alpha: float = 0.05) -> DataFrame:

@@ -1,67 +1,65 @@
-"""Exact, linearly interpolated quantiles.
+"""Exact, linearly interpolated quantiles, on one path for any number of rows and groups.
 
-Small inputs use the built-in ``percentile``. That aggregate keeps every distinct value of a column on one
-task, so beyond ``small_rows`` rows an exact selection runs instead: each wanted rank is enclosed in an open
-value interval, every pass counts the rows in it and splits it with an approximate grid, and only an
-interval proven to hold few rows is sorted. Each pass is one map-side-combined aggregation; no row data
-reaches the driver.
+A mergeable sketch per group and column encloses each wanted order statistic between two values whose ranks it bounds;
+the sketches stay rows of a table. One exact pass then counts what lies below each enclosure and keeps the distinct
+values inside, of which there are a small, fixed number; their running counts give the value at the wanted rank.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
-from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-SMALL_ROWS = 4_000_000
-SORTABLE_ROWS = 200_000
-MAX_RANKS = 20_000
-GRID = 64
+from panelcraft.session import cut_lineage
 
-
-def to_long(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
-    """(by..., column, value) with missing and NaN values left out; a map-only step."""
-    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns])
-    out = df.select(*by, F.inline(cells))
-    return out.where(F.col("value").isNotNull() & ~F.isnan("value"))
-
-
-@dataclass
-class _Rank:
-    """One wanted order statistic (0-based) and the interval known to hold it."""
-
-    ident: int
-    group: tuple
-    rank: int
-    low: float | None = None
-    high: float | None = None
-    value: float | None = None
-    sortable: bool = False
-    preceding: int = 0
+#: Ranks of a sketch are right to ``rows / accuracy``. It grows with the rows beyond ``ACCURACY * INSIDE`` of them, so
+#: that an enclosure holds 8 * ``INSIDE`` values at most.
+ACCURACY, INSIDE = 10_000, 1_000_000
 
 
 def quantiles(
-    df: DataFrame,
-    columns: Sequence[str],
-    probs: Sequence[float],
-    by: Sequence[str] = (),
-    small_rows: int = SMALL_ROWS,
-    sortable_rows: int = SORTABLE_ROWS,
-    rows: int | None = None,
+    df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: Sequence[str] = (), rows: int | None = None, accuracy: int = ACCURACY,
 ) -> DataFrame:
     """Tidy table ``by..., column, prob, value``: one row per group, column and probability.
 
-    ``by`` is for a bounded number of groups (clusters, classes), not for entities by the million.
+    Missing and NaN values are left out; without any value the result is NULL. Missing group keys are a group.
+    ``rows`` spares a count; ``accuracy`` is that of the sketch and never changes a result.
     """
     columns, probs, by = list(columns), [float(p) for p in probs], list(by)
-    total = df.count() if rows is None else rows
-    if total <= small_rows:
-        return _built_in(df, columns, probs, by)
-    return _selection(df, columns, probs, by, sortable_rows)
+    accuracy = max(accuracy, (df.count() if rows is None else rows) // INSIDE)
+    numbers = [F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(f"__c{i}") for i, c in enumerate(columns)]
+    cells = df.select(*[F.col(c).alias(f"__g{i}") for i, c in enumerate(by)], *numbers)
+    groups = [f"__g{i}" for i in range(len(by))]
+    limits = _limits(cells, groups, len(columns), probs, accuracy)
+    # one row per group; Spark sends it to all tasks only when it is small
+    on = [F.col(g).eqNullSafe(F.col(f"{g}l")) for g in groups]
+    met = cells.join(limits, on) if by else cells.crossJoin(F.broadcast(limits))
+    places = [(i, j, i * len(probs) + j) for i in range(len(columns)) for j in range(len(probs))]
+    low, high = (lambda k: F.col("__low")[k]), (lambda k: F.col("__high")[k])
+    below = met.groupBy("__id").agg(F.array(*[F.count_if(F.col(f"__c{i}") < low(k)) for i, _, k in places]).alias("__below"))
+    inside = F.array(*[F.when(F.col(f"__c{i}").between(low(k), high(k)), F.struct(F.lit(k).alias("__k"), F.col(f"__c{i}").alias("__v"))) for i, _, k in places])
+    counted = met.select("__id", F.inline(F.filter(inside, lambda x: x.isNotNull()))).groupBy("__id", "__k", "__v").count()
+    # the wanted places of each enclosure, counted from its first value
+    ranks = F.array(*[
+        F.struct(F.lit(k).alias("__k"), F.lit(columns[i]).alias("column"), F.lit(probs[j]).alias("prob"), (F.col("__n")[i] - 1).alias("last"), F.col("__below")[k].alias("under"))
+        for i, j, k in places
+    ])
+    wanted = limits.join(below.withColumnRenamed("__id", "__of"), F.col("__id") == F.col("__of"), "left").select("__id", *[f"{g}l" for g in groups], F.inline(ranks))
+    place = F.col("prob") * F.col("last")
+    wanted = wanted.withColumns({"share": place - F.floor(place), "first": F.floor(place) - F.col("under"), "second": F.ceil(place) - F.col("under")})
+    run = Window.partitionBy("__id", "__k").orderBy("__v")
+    upto = counted.withColumn("upto", F.sum("count").over(run)).select(F.col("__id").alias("__of"), F.col("__k").alias("__kk"), "__v", "upto")
+    at = upto.join(wanted.select("__id", "__k", "first", "second"), (F.col("__of") == F.col("__id")) & (F.col("__kk") == F.col("__k")))
+    picked = at.groupBy("__of", "__kk").agg(
+        F.min(F.when(F.col("upto") > F.col("first"), F.col("__v"))).alias("a"), F.min(F.when(F.col("upto") > F.col("second"), F.col("__v"))).alias("b"),
+        F.min("first").alias("from"),
+    )
+    found = wanted.join(picked, (F.col("__id") == F.col("__of")) & (F.col("__k") == F.col("__kk")), "left")
+    lost = (F.col("last") >= 0) & (F.col("a").isNull() | F.col("b").isNull() | (F.col("from") < 0))
+    value = F.when(lost, F.raise_error(F.lit("a quantile lies outside the bounds of its sketch")).cast("double")).otherwise(F.col("a") + (F.col("b") - F.col("a")) * F.col("share"))
+    return found.select(*[F.col(f"{g}l").alias(c) for g, c in zip(groups, by)], "column", "prob", value.alias("value"))
 
 
 def quantile_table(df: DataFrame, columns: Sequence[str], probs: Sequence[float], **options) -> dict[str, dict[float, float | None]]:
@@ -73,130 +71,26 @@ def quantile_table(df: DataFrame, columns: Sequence[str], probs: Sequence[float]
     return out
 
 
-def _built_in(df: DataFrame, columns, probs, by) -> DataFrame:
-    wanted = F.array(*[F.lit(p) for p in probs])
-    clean = [F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")) for c in columns]
-    aggs = [F.percentile(x, wanted).alias(f"q{i}") for i, x in enumerate(clean)]
-    wide = (df.groupBy(*by) if by else df.groupBy()).agg(*aggs)
-    cells = F.array(
-        *[
-            F.struct(F.lit(c).alias("column"), F.lit(p).alias("prob"), F.col(f"q{i}")[j].alias("value"))
-            for i, c in enumerate(columns)
-            for j, p in enumerate(probs)
-        ]
-    )
-    return wide.select(*by, F.inline(cells))
-
-
-def _selection(df: DataFrame, columns, probs, by, sortable_rows) -> DataFrame:
-    spark = df.sparkSession
-    long = to_long(df, columns, by)
-    keys = [*by, "column"]
-    grid = F.array(*[F.lit(i / GRID) for i in range(GRID + 1)])
-    counts = long.groupBy(*keys).agg(F.count("*").alias("n"), F.percentile_approx("value", grid, 10_000).alias("g"))
-    groups = counts.limit(MAX_RANKS + 1).collect()
-    if len(groups) * len(probs) * 2 > MAX_RANKS:
-        raise ValueError("too many groups for per-group quantiles; reduce the grouping or the probabilities")
-
-    ranks: list[_Rank] = []
-    wanted: list[tuple] = []
-    for row in groups:
-        group = tuple(row[k] for k in keys)
-        for p in probs:
-            position = p * (row["n"] - 1)
-            pair = []
-            for r in dict.fromkeys((math.floor(position), math.ceil(position))):
-                rank = _Rank(len(ranks), group, r)
-                _narrow(rank, row["g"], r / max(1, row["n"] - 1))
-                ranks.append(rank)
-                pair.append(rank)
-            wanted.append((group, p, position - math.floor(position), pair))
-
-    target_schema = T.StructType(
-        [T.StructField("ident", T.IntegerType())]
-        + [T.StructField(f"k{i}", long.schema[k].dataType) for i, k in enumerate(keys)]
-        + [T.StructField("low", T.DoubleType()), T.StructField("high", T.DoubleType())]
-    )
+def _limits(cells: DataFrame, groups: list[str], width: int, probs: list[float], accuracy: int) -> DataFrame:
+    """Per group: ``__id``, number of values per column, and by column and probability the ends of the enclosure.
 
-    def located(open_ranks: list[_Rank]) -> DataFrame:
-        # one row per open rank: bounded by MAX_RANKS, so the broadcast has a proven size
-        table = spark.createDataFrame([(r.ident, *r.group, r.low, r.high) for r in open_ranks], target_schema)
-        on = [F.col(k).eqNullSafe(F.col(f"k{i}")) for i, k in enumerate(keys)]
-        return long.join(F.broadcast(table), on)
-
-    for _ in range(64):
-        pending = [r for r in ranks if r.value is None and not r.sortable]
-        if not pending:
-            break
-        v, low, high = F.col("value"), F.col("low"), F.col("high")
-        inside = (low.isNull() | (v > low)) & (high.isNull() | (v < high))
-        stats = located(pending).groupBy("ident").agg(
-            F.count(F.when(v < low, 1)).alias("below"),
-            F.count(F.when(v == low, 1)).alias("at_low"),
-            F.count(F.when(inside, 1)).alias("inside"),
-            F.count(F.when(v == high, 1)).alias("at_high"),
-            F.percentile_approx(F.when(inside, v), grid, 2_000).alias("g"),
-        )
-        seen = {row["ident"]: row for row in stats.collect()}
-        for r in pending:
-            _advance(r, seen[r.ident], sortable_rows)
-
-    sortable = [r for r in ranks if r.value is None]
-    if sortable:
-        offsets = spark.createDataFrame([(r.ident, r.rank - r.preceding) for r in sortable], "ident int, skip long")
-        v, low, high = F.col("value"), F.col("low"), F.col("high")
-        run = Window.partitionBy("ident").orderBy("value")
-        picked = (
-            located(sortable)
-            .where((low.isNull() | (v > low)) & (high.isNull() | (v < high)))
-            .groupBy("ident", "value").count()
-            .withColumn("upto", F.sum("count").over(run))
-            .join(F.broadcast(offsets), "ident")
-            .where(F.col("upto") > F.col("skip"))
-            .groupBy("ident").agg(F.min("value").alias("value"))
-        )
-        by_ident = {r.ident: r for r in sortable}
-        for row in picked.collect():
-            by_ident[row["ident"]].value = row["value"]
-
-    rows = []
-    for group, p, fraction, pair in wanted:
-        lower, upper = pair[0].value, pair[-1].value
-        rows.append((*group, p, lower + (upper - lower) * fraction))
-    schema = T.StructType(
-        [T.StructField(k, long.schema[k].dataType) for k in keys]
-        + [T.StructField("prob", T.DoubleType()), T.StructField("value", T.DoubleType())]
+    With n values, a wanted place lies within n p - 1 and n p + 1, and the sketch is right to n / accuracy. So the values
+    at p -+ 3 / accuracy enclose it where n is ``accuracy`` at least. All values of smaller groups are inside.
+    """
+    margin = 3.0 / accuracy
+    ends = [(max(0.0, p - margin), min(1.0, p + margin)) for p in probs]
+    shares = F.array(*[F.lit(x) for pair in ends for x in pair])
+    sketched = cells.groupBy(*groups).agg(
+        F.array(*[F.count(f"__c{i}") for i in range(width)]).alias("__n"),
+        F.array(*[F.percentile_approx(f"__c{i}", shares, accuracy) for i in range(width)]).alias("__q"),
     )
-    return spark.createDataFrame(rows, schema)
-
-
-def _narrow(rank: _Rank, grid: list[float], share: float) -> None:
-    """Propose an interval from approximate grid values; the next pass checks it by exact counts."""
-    cell = min(GRID - 1, int(share * GRID))
-    low, high = grid[max(0, cell - 1)], grid[min(GRID, cell + 2)]
-    if cell - 1 > 0 and (rank.low is None or low > rank.low):
-        rank.low = low
-    if cell + 2 < GRID and (rank.high is None or high < rank.high):
-        rank.high = high
-
-
-def _advance(rank: _Rank, row, sortable_rows: int) -> None:
-    """Use exact counts: settle the rank on a bound, step outside a wrong bound, or split further."""
-    below = row["below"]
-    first_inside = below + row["at_low"]
-    first_high = first_inside + row["inside"]
-    at_high = 0 if rank.low == rank.high else row["at_high"]
-    if rank.low is not None and rank.rank < below:  # proposal was too high
-        rank.high, rank.low = rank.low, None
-    elif rank.low is not None and rank.rank < first_inside:
-        rank.value = rank.low
-    elif rank.rank < first_high:
-        if row["inside"] <= sortable_rows:
-            rank.sortable = True
-            rank.preceding = first_inside
-        else:
-            _narrow(rank, row["g"], (rank.rank - first_inside) / max(1, row["inside"] - 1))
-    elif rank.high is not None and rank.rank < first_high + at_high:
-        rank.value = rank.high
-    else:  # proposal was too low
-        rank.low, rank.high = rank.high, None
+
+    def bound(i: int, j: int, upper: int) -> Column:
+        far = F.lit(float("inf") if upper else float("-inf"))
+        return far if ends[j][upper] in (0.0, 1.0) else F.when(F.col("__n")[i] < accuracy, far).otherwise(F.col("__q")[i][2 * j + upper])
+
+    bounds = [F.array(*[bound(i, j, u) for i in range(width) for j in range(len(probs))]).alias(n) for u, n in ((0, "__low"), (1, "__high"))]
+    found = sketched.select(*[F.col(g).alias(f"{g}l") for g in groups], F.monotonically_increasing_id().alias("__id"), "__n", *bounds)
+    if groups:
+        return cut_lineage(found)
+    return cells.sparkSession.createDataFrame(found.collect(), found.schema)  # one row, as long as there are columns

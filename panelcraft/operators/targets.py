@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from panelcraft.functions.columns import find_column
 from panelcraft.functions.scalars import capped_ratio, mean_of, right_closed_bins, unit_interval
-from panelcraft.operators.quantiles import SMALL_ROWS, quantile_table
+from panelcraft.operators.quantiles import quantile_table
 
 LEVELS = ("Low", "Medium", "High")
 NEUTRAL_FACTOR = 0.5
@@ -39,13 +39,12 @@ class TargetBuilder:
 
     medium: float = 0.4
     high: float = 0.7
-    small_rows: int = SMALL_ROWS
     caps: dict[str, float | None] | None = None
 
     def fit(self, df: DataFrame) -> TargetBuilder:
         beds = beds_column(df.columns)
         wanted = [c for c in ("mortality_rate", beds, "gdp_per_capita") if c and c in df.columns]
-        found = quantile_table(df, wanted, [CAP_PROBABILITY], small_rows=self.small_rows)
+        found = quantile_table(df, wanted, [CAP_PROBABILITY])
         self.caps = {c: q[CAP_PROBABILITY] for c, q in found.items()}
         return self
 

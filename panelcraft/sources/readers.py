@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from panelcraft.sources.csv_records import csv_records
+
 # Text that means "missing" in a raw file, besides an empty field.
 MISSING_TOKENS = (
     "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
@@ -18,14 +21,21 @@ MISSING_TOKENS = (
 def read_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructType) -> DataFrame:
     """Header CSV; missing tokens and unreadable numbers become NULL.
 
-    Columns are matched to ``schema`` by name, in any order. A quote inside a quoted field is doubled. Files that
-    are read together must have the same header; one that differs is an error, never read by position. A column the schema does not know is double when
-    all its values are numbers, else text: one aggregate over the file, run only when there is such a column.
+    Columns are matched to ``schema`` by name, in any order. A quote inside a quoted field is doubled; a quoted field
+    may hold line breaks, and large files are read in splits all the same. Files that are read together must have the
+    same header; one that differs is an error, never read by position. A row with too few fields ends in NULLs, further
+    fields than the header has are left out. A column the schema does not know is double when all its values are
+    numbers, else text: one aggregate over the file, run only when there is such a column.
     """
-    quoted = {"header": True, "quote": '"', "escape": '"'}
-    header = spark.read.options(**quoted).csv(path).columns
-    as_text = T.StructType([T.StructField(n, T.StringType()) for n in header])
-    raw = spark.read.schema(as_text).options(**quoted, enforceSchema=False, mode="PERMISSIVE").csv(path)
+    records = csv_records(spark, path)
+    first = "block = 0 AND record = 1"
+    headers = records.where(first).select(F.regexp_replace("value", "^\ufeff", "").alias("value")).distinct().limit(2).collect()
+    if len(headers) != 1:
+        raise ValueError("no header, or files with different ones")
+    header = [n or f"_c{i}" for i, n in enumerate(next(csv.reader([headers[0]["value"]])))]
+    as_text = ", ".join(f"`{n.replace('`', '``')}` string" for n in header)
+    parsed = F.from_csv("value", as_text, {"quote": '"', "escape": '"'})
+    raw = records.where(f"NOT ({first})").select(parsed.alias("x")).select("x.*")
     present = raw.select(*[F.when(~F.col(f"`{n}`").isin(*MISSING_TOKENS), F.col(f"`{n}`")).alias(n) for n in header])
     known = {f.name: f.dataType for f in schema.fields}
     types = {**_inferred(present, [n for n in header if n not in known]), **known}

@@ -20,7 +20,8 @@ def write_stage(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> D
 
 
 def export_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).csv(path)
+    """A quote inside a field is doubled, as ``read_csv`` expects."""
+    df.write.mode("overwrite").options(header=True, quote=chr(34), escape=chr(34)).csv(path)
 
 
 def flatten_metrics(nested: Mapping, prefix: str = "") -> list[tuple[str, float | None, str | None]]:

@@ -150,7 +150,7 @@ def test_auc_with_one_class_is_missing(spark):
 def test_nan_is_missing_for_quantiles(spark):
     df = spark.createDataFrame([(1.0,), (float("nan"),), (3.0,), (None,)], "x double")
     assert clean.quantile_table(df, ["x"], [0.5])["x"][0.5] == 2.0
-    assert clean.quantile_table(df, ["x"], [0.5], small_rows=0)["x"][0.5] == 2.0
+    assert clean.quantile_table(df, ["x"], [0.5], accuracy=20)["x"][0.5] == 2.0
 
 
 def test_empty_input_raises(spark):
@@ -232,6 +232,45 @@ def test_csv_with_quotes_and_other_headers(spark, tmp_path):
         read_csv(spark, str(tmp_path), schema).collect()
 
 
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+def test_csv_with_line_breaks_in_many_splits(spark, tmp_path, end):
+    """Random fields with quotes, commas and line breaks; records begin and end anywhere in the splits of a file."""
+    import csv
+    import random
+
+    from pyspark.sql import types as T
+
+    rng = random.Random(7)
+    field = lambda: "".join(rng.choice(["a", " ", '"', ",", "\n", "é", "\n\n", '"\n'])  for _ in range(rng.randint(1, 12)))
+    rows = [(str(i), field() if i % 5 else "long\n" * rng.randint(1, 400), i) for i in range(80)]
+    for f in range(2):
+        with open(tmp_path / f"{f}.csv", "w", newline="") as out:
+            writer = csv.writer(out, lineterminator=end)
+            writer.writerows([("k", "text", "n"), *rows[f::2]])
+    schema = T.StructType([T.StructField("k", T.StringType()), T.StructField("text", T.StringType()), T.StructField("n", T.LongType())])
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        for k, v in zip(old, ("2000", "1")):
+            spark.conf.set(k, v)
+        df = readers.read_csv(spark, str(tmp_path), schema)
+        got = {r["k"]: (r["text"], r["n"]) for r in df.collect()}
+        records = readers.csv_records(spark, str(tmp_path))
+        assert records.select("file", "block").distinct().count() >= 8
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert got == {k: (t, n) for k, t, n in rows}
+
+
+def test_csv_quotes_that_open_nothing(spark, tmp_path):
+    from pyspark.sql import types as T
+
+    (tmp_path / "a.csv").write_text('\n\nname,n\n5" disk,1\n\n"x\n",2\n,3\nshort\n')
+    schema = T.StructType([T.StructField("name", T.StringType()), T.StructField("n", T.LongType())])
+    got = readers.read_csv(spark, str(tmp_path), schema).collect()
+    assert sorted(map(tuple, got), key=str) == sorted([('5" disk', 1), ("x\n", 2), (None, 3), ("short", None)], key=str)
+
+
 def test_split_keeps_rows_without_class_or_key(spark):
     from panelcraft.operators.splits import with_stratified_split
 

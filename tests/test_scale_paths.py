@@ -18,7 +18,7 @@ from panelcraft.operators.panel_windows import PanelKey
 @given(st.lists(st.one_of(st.integers(-3, 3).map(float), st.floats(-1e6, 1e6)), min_size=1, max_size=300))
 def test_selection_equals_interpolated_quantiles(spark, xs):
     df = spark.createDataFrame([(x,) for x in xs], "x double")
-    found = quantile_table(df, ["x"], [0.0, 0.25, 0.5, 0.95, 1.0], small_rows=0, sortable_rows=3)["x"]
+    found = quantile_table(df, ["x"], [0.0, 0.25, 0.5, 0.95, 1.0], accuracy=7)["x"]
     for p, v in found.items():
         assert v == pytest.approx(np.quantile(xs, p), rel=1e-9, abs=1e-9)
 
@@ -27,7 +27,7 @@ def test_selection_with_a_heavy_value_and_groups(spark):
     rng = np.random.default_rng(1)
     xs = np.concatenate([np.full(4000, 5.0), rng.normal(5, 1e-3, 3000), rng.exponential(100, 3000)])
     df = spark.createDataFrame([(int(i % 3), float(x)) for i, x in enumerate(xs)], "g int, x double")
-    found = quantile_table(df.where("g = 1"), ["x"], [0.1, 0.4, 0.6, 0.99], small_rows=0, sortable_rows=20)["x"]
+    found = quantile_table(df.where("g = 1"), ["x"], [0.1, 0.4, 0.6, 0.99], accuracy=20)["x"]
     for p, v in found.items():
         assert v == pytest.approx(np.quantile(xs[1::3], p), rel=1e-9)
 
