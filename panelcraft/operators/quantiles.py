@@ -63,11 +63,18 @@ def quantiles(
 
 
 def quantile_table(df: DataFrame, columns: Sequence[str], probs: Sequence[float], **options) -> dict[str, dict[float, float | None]]:
-    """Fitted scalars ``{column: {prob: value}}`` for use as literals in a later projection."""
+    """Fitted scalars ``{column: {prob: value}}`` for use as literals in a later projection.
+
+    The columns are kept while the passes over them run, so that what made ``df`` is worked out once.
+    """
     out: dict[str, dict[float, float | None]] = {c: {float(p): None for p in probs} for c in columns}
     if columns:
-        for row in quantiles(df, columns, probs, **options).collect():
-            out[row["column"]][row["prob"]] = row["value"]
+        kept = df.select(*columns).persist()
+        try:
+            for row in quantiles(kept, columns, probs, **options).collect():
+                out[row["column"]][row["prob"]] = row["value"]
+        finally:
+            kept.unpersist()
     return out
 
 
