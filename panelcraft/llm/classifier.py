@@ -14,6 +14,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from panelcraft.llm.common import WordMemory, emptied_after, forget_words
+
 #: Word vectors: rows of a hashed table, so that its size does not follow the vocabulary.
 SLOTS = 8_192
 WIDTH = 64
@@ -26,7 +28,6 @@ HIDDEN = 32
 EPOCHS = 60
 SEED = 5
 _SPREAD = 64  # parts in which tables of counts travel
-_LOCAL_WORDS = 500_000
 
 
 #: Letters become a or A (all bytes beyond ASCII: a), digits 0.
@@ -35,16 +36,13 @@ _RUNS = re.compile(rb"(.)\1+", re.DOTALL)
 _WORD_SLOTS = SLOTS - SLOTS // 8
 
 
-class _Slots(dict):
-    """Word -> slot of the word and slot of its outline, as one number; forgotten when too many."""
+class _Slots(WordMemory):
+    """Word -> slot of the word and slot of its outline, as one number."""
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= _LOCAL_WORDS:
-            self.clear()
-        outline = _RUNS.sub(rb"\1", word[:64].translate(_OUTLINE))
+    def work_out(self, word: bytes) -> int:
+        outline = _RUNS.sub(rb"\1", word.translate(_OUTLINE))
         out = _WORD_SLOTS + xxhash.xxh3_64_intdigest(outline) % (SLOTS // 8)
-        found = self[word] = xxhash.xxh3_64_intdigest(word.lower()) % _WORD_SLOTS * SLOTS + out
-        return found
+        return xxhash.xxh3_64_intdigest(word.lower()) % _WORD_SLOTS * SLOTS + out
 
     def of(self, text: bytes) -> tuple[np.ndarray, np.ndarray]:
         """Slots of the words, slots of their outlines."""
@@ -107,7 +105,7 @@ def word_vectors(docs: DataFrame, text: str = "text") -> np.ndarray:
     A task sends one fixed table of whole numbers in parts; parts are added in two steps, so no task meets more than
     the square root of the number of tasks. The result has a fixed size (``SLOTS`` x ``WIDTH``).
     """
-    local = docs.select(text).mapInArrow(_neighbourhoods, "part int, sums binary")
+    local = docs.select(text).mapInArrow(emptied_after(_neighbourhoods), "part int, sums binary")
     some = F.pmod(F.spark_partition_id(), F.lit(64))
     half = local.withColumn("some", some).groupBy("part", "some").applyInPandas(_added, "part int, sums binary")
     parts = half.groupBy("part").applyInPandas(_added, "part int, sums binary").collect()
@@ -200,7 +198,7 @@ def fit_classifier(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text
 
     met = docs.join(F.broadcast(chosen), F.col(key) == F.col("__id"))  # at most ``rows`` ids are sent
     found = met.select((fold(key) == 1).alias("apart"), F.col("__y").cast("int").alias("y"), F.col(text).alias("text"))
-    got = found.mapInArrow(features, "apart boolean, y int, x binary").toPandas()
+    got = found.mapInArrow(emptied_after(features), "apart boolean, y int, x binary").toPandas()
     if got["y"].nunique() < 2:
         return vectors, None
     got = got.sort_values(["x", "y"], kind="stable")  # the order of tasks must not change the fit
@@ -228,5 +226,6 @@ def classify(docs: DataFrame, vectors: np.ndarray, network: Network | None, text
                 continue
             x = np.stack([_pooled(b"" if t is None else t.encode(), table) for t in part])
             yield pd.Series(net.scores(x))
+        forget_words()
 
     return docs.withColumn(name, scored(F.col(text).cast("string")))

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,8 +13,10 @@ from pyspark.sql import functions as F
 from panelcraft.session import cut_lineage, scratch_folder
 
 SPACES = r"[\x20\x09-\x0D]+"
-#: Words kept per task by a ``WordHashes``; a larger vocabulary starts it afresh, so memory stays bounded.
-CACHED_WORDS = 1_000_000
+#: Words, and bytes of words, that a task remembers; a larger vocabulary starts afresh, so memory stays bounded.
+CACHED_WORDS, CACHED_BYTES = 300_000, 16_000_000
+#: Bytes of texts that a task takes at a time, about; a single longer text is taken alone.
+SLICE_BYTES = 16_000_000
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _MIX2 = np.uint64(0xBF58476D1CE4E5B9)
@@ -51,15 +54,59 @@ def seeded_fraction(key: Column, seed: int) -> Column:
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / F.lit(float(1 << 32))
 
 
-class WordHashes(dict):
-    """64-bit hashes of byte words, remembered while they fit."""
+_memories: list[WordMemory] = []  # of this worker process
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= CACHED_WORDS:
+
+class WordMemory(dict):
+    """What a task works out for words, remembered while it fits; see ``emptied_after``."""
+
+    held = 0
+
+    def __init__(self):
+        super().__init__()
+        _memories.append(self)
+
+    def work_out(self, word):
+        raise NotImplementedError
+
+    def __missing__(self, word):
+        if len(self) >= CACHED_WORDS or self.held >= CACHED_BYTES:
             self.clear()
-        found = self[word] = xxhash.xxh3_64_intdigest(word)
+        self.held += len(word)
+        found = self[word] = self.work_out(word)
         return found
 
+    def clear(self) -> None:
+        super().clear()
+        self.held = 0
+
+
+def forget_words() -> None:
+    for memory in _memories:
+        memory.clear()
+
+
+def emptied_after(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``run`` over the batches of a partition; no word is remembered when the partition has ended.
+
+    Python workers live on from stage to stage, and what they remember would pile up.
+    """
+
+    def bounded(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            forget_words()
+
+    return bounded
+
+
+class WordHashes(WordMemory):
+    """64-bit hashes of byte words."""
+
+    def work_out(self, word: bytes) -> int:
+        return xxhash.xxh3_64_intdigest(word)
+
     def of(self, ws: list[bytes]) -> np.ndarray:
         return np.fromiter((self[w] for w in ws), np.uint64, len(ws))
 
@@ -130,6 +177,19 @@ def linked_groups(edges: DataFrame, max_rounds: int = 200) -> DataFrame:
     return stars.unionByName(centres.join(stars.select("node"), "node", "left_anti"))
 
 
+def slices(batch: pa.RecordBatch, text: int, rows: int = 10_000) -> Iterator[pa.RecordBatch]:
+    """``batch`` in consecutive slices of at most ``rows`` rows and about ``SLICE_BYTES`` of column ``text``."""
+    sizes = np.array([len(t.as_buffer()) if t.is_valid else 0 for t in batch.column(text)], np.int64)
+    start, size = 0, 0
+    for i, n in enumerate(sizes.tolist()):
+        if i > start and (size + n > SLICE_BYTES or i - start >= rows):
+            yield batch.slice(start, i - start)
+            start, size = i, 0
+        size += n
+    if start < batch.num_rows or not batch.num_rows:
+        yield batch.slice(start)
+
+
 def texts_of(batch: Iterable) -> list[bytes]:
     """UTF-8 bytes of an Arrow string column; null is empty."""
     return [b"" if v is None else v.encode() for v in batch]

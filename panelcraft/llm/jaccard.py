@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelcraft.llm.common import WordHashes, linked_groups, rolling, scrambled, signed
+from panelcraft.llm.common import WordHashes, emptied_after, linked_groups, rolling, scrambled, signed, slices
 from panelcraft.session import cut_lineage
 
 WORDS = 5
@@ -77,8 +77,8 @@ def _spread(ranges: int, words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         partition = TaskContext.get().partitionId()
         for at, whole in enumerate(batches):
-            for start in range(0, whole.num_rows, 10_000):
-                yield chunk(whole.slice(start, 10_000), (partition, at, start))
+            for start, part in enumerate(slices(whole, 1)):
+                yield chunk(part, (partition, at, start))
 
     def chunk(batch: pa.RecordBatch, place: tuple[int, int, int]) -> pa.RecordBatch:
         name, number, sets, docs = xxhash.xxh3_64(repr(place).encode()), {}, [], []
@@ -122,7 +122,7 @@ def _spread(ranges: int, words: int):
             "head": pa.array([head if r == home else None for r, _, _ in rows], pa.binary()),
         })
 
-    return run
+    return emptied_after(run)
 
 
 def _counted(pdf: pd.DataFrame) -> pd.DataFrame:

@@ -29,7 +29,7 @@ FREQUENT = 200_000
 #: has, are merged with a heap (or, for unigram models, folded all the same).
 LONGEST_UNIT = 61
 #: Words and their units, or pieces, that a task remembers; beyond it starts afresh.
-REMEMBERED = 500_000
+REMEMBERED = 150_000
 _DIGITS = "0123456789ABCDEF"
 _SPACED = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 

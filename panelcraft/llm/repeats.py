@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelcraft.llm.common import WordHashes, minimizers, scrambled, signed
+from panelcraft.llm.common import WordHashes, emptied_after, minimizers, scrambled, signed, slices
 from panelcraft.session import cut_lineage
 
 #: Symbols of a text that are looked at together; longer texts are cut, with overlap, so memory stays bounded.
@@ -27,6 +27,8 @@ STRETCH = 1 << 20
 HEAVY = 32
 #: Different pieces of one anchor that an index block takes; more are compared window by window, as rows.
 CROWD = 4_096
+#: Characters of text whose places one anchor range holds, about; ranges grow in number with the input, not in size.
+RANGE_CHARS = 8_000_000
 #: Bytes of pieces in an index block.
 BLOCK = 2_000_000
 
@@ -84,7 +86,7 @@ def _entries(symbols: Symbols, ranges: int):
     width = np.uint64((1 << 64) // ranges + 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, 2)):
             parts, seen = [], xxhash.xxh3_64()
             for i0, i1, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
                 seq = symbols.of(text.as_py())
@@ -115,7 +117,7 @@ def _entries(symbols: Symbols, ranges: int):
                 "marks": pa.array([m for _, _, m in rows], pa.binary()),
             })
 
-    return run
+    return emptied_after(run)
 
 
 def _columns(data: bytes) -> np.ndarray:
@@ -164,7 +166,7 @@ def _cut_pieces(symbols: Symbols):
                     "crowd": pa.array(out["crowd"], pa.bool_()), "piece": pa.array(out["piece"], pa.binary()),
                 })
 
-    return run
+    return emptied_after(run)
 
 
 _RUNS = "anchor long, content long, runs array<int>"
@@ -234,7 +236,8 @@ def repeated_windows(docs: DataFrame, text: str, symbols: Symbols, repeated: Cal
     window after the last, of windows that start anywhere else too."""
     spark: SparkSession = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranges = max(16, parts)
+    size = docs.agg(F.sum(F.length(text))).first()[0] or 0
+    ranges = max(16, parts, size // RANGE_CHARS + 1)
     blobs = docs.select("__i0", "__i1", F.col(text)).mapInArrow(_entries(symbols, ranges), "part int, entries binary, marks binary")
     places = cut_lineage(blobs.groupBy("part").applyInPandas(_shared(ranges), _PLACES))
     kinds = places.groupBy("anchor", "content").agg(F.count(F.lit(1)).alias("k"), F.min(F.struct("i0", "i1", "start", "span")).alias("one"))
