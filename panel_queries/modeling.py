@@ -329,6 +329,16 @@ def _(t):
     return labels
 
 
+@query("k5_separated_groups", "SELECT c_custkey, MIN(c_custkey) OVER (PARTITION BY c_nationkey % 5) AS first_of_cluster FROM customer")
+def _(t):
+    group = F.col("c_nationkey") % 5
+    place = F.array(group * 100.0 + F.col("c_acctbal") / 1000, group * group * 40.0 + F.col("c_custkey") % 7)
+    points = t.customer.select("c_custkey", place.alias("v"))
+    labels = clustering.fit_hierarchy(points, "v").labels(points, "c_custkey", "v", 5)
+    first = labels.groupBy("cluster").agg(F.min("c_custkey").alias("first_of_cluster"))
+    return labels.join(first, "cluster").select("c_custkey", "first_of_cluster")
+
+
 @query("k6_merge_table")
 def _(t):
     return clustering.fit_hierarchy(customer_vectors(t), "features").merge_table(t.spark)
