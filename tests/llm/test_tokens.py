@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 import duckdb
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
@@ -263,3 +264,28 @@ def test_decoder_takes_ids_in_pieces(model, library):
     for size in (1, 2, 3, 100):
         text = "".join(decoder.feed(np.array(ids[i : i + size])) for i in range(0, len(ids), size)) + decoder.close()
         assert text == library.decode(ids, skip_special_tokens=False)
+
+
+def test_batches_are_cut_by_bytes_and_rows(monkeypatch):
+    from panelcraft.llm import common
+
+    monkeypatch.setattr(common, "SLICE_BYTES", 10)
+    texts = ["aaaa", None, "bbbb", "c" * 50, "", "é" * 4, "dd", "e"]
+    batch = pa.RecordBatch.from_pydict({"id": pa.array(range(len(texts))), "text": pa.array(texts)})
+    parts = list(common.slices(batch, 1, rows=3))
+    assert [t for p in parts for t in p.column(1).to_pylist()] == texts
+    assert [p.num_rows for p in parts] == [3, 1, 3, 1]
+    assert [p.num_rows for p in common.slices(batch.slice(0, 0), 1)] == [0]
+
+
+def test_words_are_forgotten_after_a_partition(monkeypatch):
+    from panelcraft.llm import common
+
+    monkeypatch.setattr(common, "CACHED_BYTES", 100)
+    memory = common.WordHashes()
+    run = common.emptied_after(lambda batches: (memory.of(b) for b in batches))
+    sizes = []
+    for hashes in run([[b"w%d" % i for i in range(k, k + 10)] for k in range(0, 1000, 10)]):
+        assert len(hashes) == 10
+        sizes.append(memory.held)
+    assert 0 < max(sizes) <= 110 and len(memory) == 0 and memory.held == 0
