@@ -303,6 +303,29 @@ def _(t):
     return labels
 
 
+GROUPS = 4
+
+
+def grouped_customers(t):
+    """Customers in GROUPS groups set well apart, by nation: how many clusters there are and who is in which is known."""
+    group = F.col("c_nationkey") % GROUPS
+    place = F.array(group * 100.0 + F.col("c_acctbal") / 1000, group * group * 40.0 + F.col("c_custkey") % 7)
+    return t.customer.select("c_custkey", place.alias("v"))
+
+
+@query("k2_separated_groups", f"SELECT k, k = {GROUPS} AS is_best FROM (SELECT UNNEST(RANGE(2, 11))::INT AS k)")
+def _(t):
+    return clustering.search_k(grouped_customers(t), "c_custkey", "v")[1].select("k", "is_best")
+
+
+@query("k3_separated_groups", f"SELECT c_custkey, MIN(c_custkey) OVER (PARTITION BY c_nationkey % {GROUPS}) AS first_of_cluster FROM customer")
+def _(t):
+    points = grouped_customers(t)
+    labels = clustering.fit_kmeans(points, "v", GROUPS).labels(points, "c_custkey", "v")
+    first = labels.groupBy("cluster").agg(F.min("c_custkey").alias("first_of_cluster"))
+    return labels.join(first, "cluster").select("c_custkey", "first_of_cluster")
+
+
 DBSCAN_EPS, DBSCAN_MIN = 0.2, 8
 
 _DBSCAN_SQL = f"""WITH RECURSIVE p AS (SELECT c_custkey AS id, c_acctbal / 1000 AS x, c_nationkey / 2.0::DOUBLE AS y FROM customer),

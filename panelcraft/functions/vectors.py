@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame
@@ -36,3 +38,14 @@ def as_vector(df: DataFrame, column: str) -> Column:
 
 def packed(columns: Sequence[str]) -> Column:
     return F.array(*[F.col(c).cast("double") for c in columns])
+
+
+def complete(column: str) -> Column:
+    """Whether an array has no missing, NaN or infinite component; false for a missing array."""
+    return F.expr(f"`{column}` IS NOT NULL AND forall(`{column}`, x -> coalesce(abs(x) < double('infinity'), false))")
+
+
+def matrix(column: pa.Array) -> np.ndarray:
+    """An Arrow column of equally long arrays, one row each."""
+    values = column.flatten().to_numpy(zero_copy_only=False)
+    return values.reshape(len(column), -1) if len(column) else values.reshape(0, 0)
