@@ -4,22 +4,18 @@ from __future__ import annotations
 
 import time
 from collections.abc import Sequence
-from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 from pyspark.ml import Model
-from pyspark.ml.classification import (
-    LinearSVC, LogisticRegression, LogisticRegressionModel, OneVsRest, OneVsRestModel, RandomForestClassifier,
-)
-from pyspark.ml.feature import StandardScaler, StandardScalerModel
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.ml.tuning import ParamGridBuilder
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelcraft.operators.booster import Boosting, boost, score_summary
+from panelcraft.operators.kernel_svm import fit_svm, weighted_f1_of
 from panelcraft.operators.tuning import Tuned, grid_search, r2, weighted_f1
 
 SEED = 42
@@ -94,92 +90,18 @@ def class_probabilities(df: DataFrame) -> Column:
     return vector_to_array("probability")
 
 
-def fourier_features(df: DataFrame, column: str, width: int, size: int, gamma: float, seed: int, output: str) -> DataFrame:
-    """Random cosine features whose inner products approximate the RBF kernel exp(-gamma |x - y|^2).
-
-    The projection is a fixed ``size x width`` matrix, so what travels to the tasks does not grow with data.
-    """
-    rng = np.random.default_rng(seed)
-    weights = rng.normal(0.0, np.sqrt(2.0 * gamma), (width, size))
-    shift = rng.uniform(0.0, 2.0 * np.pi, size)
-
-    @F.pandas_udf("array<double>")
-    def project(vectors: pd.Series) -> pd.Series:
-        if vectors.empty:
-            return pd.Series([], dtype=object)
-        out = np.sqrt(2.0 / size) * np.cos(np.stack(vectors.to_numpy()) @ weights + shift)
-        return pd.Series(list(out))
-
-    return df.withColumn(output, array_to_vector(project(vector_to_array(column))))
-
-
-@dataclass
-class KernelSvm:
-    """Scaler, random kernel features, one-vs-rest linear margins, and probabilities calibrated on margins."""
-
-    scaler: StandardScalerModel
-    margins: OneVsRestModel
-    calibration: LogisticRegressionModel
-    width: int
-    size: int
-    gamma: float
-    seed: int
-
-    def features(self, df: DataFrame) -> DataFrame:
-        return kernel_inputs(df, self.scaler, self.width, self.size, self.gamma, self.seed)
-
-    def transform(self, df: DataFrame) -> DataFrame:
-        """Adds ``prediction`` (largest margin) and ``probability`` (calibrated)."""
-        scored = self.margins.transform(self.features(df))
-        calibrated = self.calibration.transform(scored)
-        return calibrated.drop("scaled", "kernel", "rawPrediction", "calibrated_raw", "calibrated_class")
-
-    def save(self, spark: SparkSession, path: str) -> str:
-        """The three fitted parts and, as a table, what draws the kernel features again."""
-        for part in ("scaler", "margins", "calibration"):
-            getattr(self, part).write().overwrite().save(f"{path}/{part}")
-        kernel = [(self.width, self.size, self.gamma, self.seed)]
-        spark.createDataFrame(kernel, "width int, size int, gamma double, seed long").coalesce(1).write.mode("overwrite").parquet(f"{path}/kernel")
-        return path
-
-    @staticmethod
-    def load(spark: SparkSession, path: str) -> KernelSvm:
-        row = spark.read.parquet(f"{path}/kernel").first()
-        parts = (StandardScalerModel.load(f"{path}/scaler"), OneVsRestModel.load(f"{path}/margins"), LogisticRegressionModel.load(f"{path}/calibration"))
-        return KernelSvm(*parts, row["width"], row["size"], row["gamma"], row["seed"])
-
-
-def kernel_inputs(df: DataFrame, scaler: StandardScalerModel, width: int, size: int, gamma: float, seed: int) -> DataFrame:
-    return fourier_features(scaler.transform(df), "scaled", width, size, gamma, seed, "kernel")
-
-
 def train_kernel_svm(df: DataFrame, strength: float = 1.0, size: int = 512, folds: int = FOLDS, max_iter: int = 100, seed: int = SEED) -> Tuned:
-    """RBF support-vector classifier. With standardised inputs the scaled kernel width is 1 / number of inputs."""
+    """Support-vector classifier with a Gaussian kernel on ``size`` landmarks, over the folds 0 to ``folds`` - 1 of ``fold``.
+    Margins of all pairs of classes, of all folds and of the whole are trained in at most ``max_iter`` jobs together."""
     start = time.time()
-    n = df.count()
-    width = df.select("features").first()[0].size
-    gamma = 1.0 / width
-    scaler = StandardScaler(inputCol="features", outputCol="scaled", withMean=True).fit(df)
-    ready = kernel_inputs(df, scaler, width, size, gamma, seed).persist()
-
-    def estimator(rows: float) -> OneVsRest:
-        return OneVsRest(
-            classifier=LinearSVC(featuresCol="kernel", regParam=1.0 / (strength * rows), maxIter=max_iter), featuresCol="kernel"
-        )
-
+    rows = df.select("features", "label", "fold").persist()
     try:
-        tuned = grid_search(estimator(n * (folds - 1) / folds), one_point_grid(), weighted_f1(), ready, folds)
-        margins = estimator(n).fit(ready)
-        calibration = LogisticRegression(
-            featuresCol="rawPrediction", probabilityCol="probability", rawPredictionCol="calibrated_raw",
-            predictionCol="calibrated_class", family="multinomial",
-        ).fit(margins.transform(ready))
+        model, confusion, _ = fit_svm(rows, strength, size, range(folds), max_iter, seed)
     finally:
-        ready.unpersist()
-    tuned.model = KernelSvm(scaler, margins, calibration, width, size, gamma, seed)
-    tuned.best_params = {"C": strength, "kernel": "rbf", "gamma": gamma, "features": size}
-    tuned.seconds = time.time() - start
-    return tuned
+        rows.unpersist()
+    mean, std = score_summary([{"f1": weighted_f1_of(c)} if c.sum() else {} for c in confusion], "f1")
+    params = {"C": strength, "kernel": "rbf", "gamma": model.landmarks.gamma, "landmarks": len(model.landmarks.points)}
+    return Tuned(model, params, mean, [mean], [std], time.time() - start)
 
 
 # ---------------------------------------------------------------------------------------- regression
