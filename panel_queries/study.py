@@ -370,6 +370,32 @@ def _(t):
     return explore.strong_pairs(rows, explore.correlation_columns(rows)).select("var1", "var2", r("r"))
 
 
+_E8_ALL = ["row_id", *_E8]
+_E8_FITS = [("new_cases", "new_deaths"), ("gdp_per_capita", "people_vaccinated")]
+
+
+def _e8_cell(part, a, b, r_of):
+    both = f"COUNT(*) FILTER (WHERE {a} IS NOT NULL AND {b} IS NOT NULL)"
+    return f"SELECT '{part}' AS part, '{a}' AS var1, '{b}' AS var2, {both} AS n, {r_of} AS r, NULL::DOUBLE AS slope, NULL::DOUBLE AS intercept FROM d"
+
+
+@query(
+    "e8_full_study",
+    f"WITH d AS ({DETAIL_SQL}) "
+    + " UNION ALL ".join(_e8_cell("matrix", a, b, "1.0::DOUBLE" if a == b else f"ROUND(CORR({a}, {b}), 6)") for a in _E8_ALL for b in _E8_ALL)
+    + " UNION ALL SELECT * FROM ("
+    + " UNION ALL ".join(_e8_cell("strong", a, b, f"ROUND(CORR({a}, {b}), 6)") for i, a in enumerate(_E8_ALL) for b in _E8_ALL[i + 1:])
+    + ") WHERE ABS(r) > 0.7 UNION ALL "
+    + " UNION ALL ".join(
+        f"SELECT 'fit', '{a}', '{b}', REGR_COUNT({b}, {a})::BIGINT, ROUND(CORR({a}, {b}), 6), ROUND(REGR_SLOPE({b}, {a}), 5), ROUND(REGR_INTERCEPT({b}, {a}), 3) FROM d"
+        for a, b in _E8_FITS
+    ),
+)
+def _(t):
+    found = explore.correlation_study(detail_rows(t), _E8_ALL, _E8_FITS)
+    return found.select("part", "var1", "var2", "n", r("r"), r("slope", 5), r("intercept", 3))
+
+
 @query(
     "e9_cleaning_delta",
     f"""WITH d AS ({DETAIL_SQL}), n AS (SELECT COUNT(*) AS rows_n, COUNT(*) - COUNT(location) AS l, COUNT(*) - COUNT(new_cases) AS a, COUNT(*) - COUNT(new_deaths) AS b,

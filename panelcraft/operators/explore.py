@@ -6,11 +6,13 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 from itertools import combinations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from panelcraft.functions.columns import numeric_columns
+from panelcraft.functions.scalars import finite_or_null
 from panelcraft.operators.clean import null_counts
+from panelcraft.operators.moments import PairMoments, pair_moments
 from panelcraft.operators.panel_windows import PanelKey, latest_per_entity, strict_rolling_mean
 
 WIDE_PAIRS = 16
@@ -94,18 +96,50 @@ def correlation_columns(df: DataFrame, above: float = 0.3, limit: int | None = N
 
 
 def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Upper triangle ``var1, var2, r`` over pairwise-complete rows: one pass for all pairs."""
+    """Upper triangle ``var1, var2, r`` over pairwise-complete rows: one pass for all pairs. NaN and infinities count as
+    missing; r is NULL where a column has no spread."""
     pairs = list(combinations(list(columns), 2))
-    if len(pairs) > WIDE_PAIRS:  # too many side by side would leave generated code: unfold, then combine per pair
-        values = F.array(*[F.struct(F.lit(a).alias("var1"), F.lit(b).alias("var2"), F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y")) for a, b in pairs])
-        return df.select(F.inline(values)).groupBy("var1", "var2").agg(F.corr("x", "y").alias("r"))
-    wide = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
+    if len(pairs) > WIDE_PAIRS:  # too many side by side would leave generated code
+        return _triangle(df.sparkSession, pair_moments(df, columns))
+    wide = df.agg(*[F.corr(finite_or_null(a), finite_or_null(b)).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
     cells = [
         F.struct(F.lit(a).alias("var1"), F.lit(b).alias("var2"), F.col(f"r{i}").alias("r")) for i, (a, b) in enumerate(pairs)
     ]
     return wide.select(F.inline(F.array(*cells)))
 
 
+def _triangle(spark: SparkSession, moments: PairMoments) -> DataFrame:
+    r = moments.r()
+    rows = [(a, b, _number(r[i, j])) for (i, a), (j, b) in combinations(enumerate(moments.columns), 2)]
+    return spark.createDataFrame(rows, "var1 string, var2 string, r double")
+
+
+def _number(x: float) -> float | None:
+    return None if x != x else float(x)
+
+
+def correlation_study(
+    df: DataFrame, columns: Sequence[str], fits: Sequence[tuple[str, str]] = (), above: float = 0.7
+) -> DataFrame:
+    """The whole study from one set of moments: ``part, var1, var2, n, r, slope, intercept`` with part "matrix" for the
+    full square and its unit diagonal, "strong" for pairs of an absolute r over ``above``, "fit" for the lines of var2
+    over var1. Fits of columns that are not there are left out."""
+    wanted = [(x, y) for x, y in fits if x in df.columns and y in df.columns]
+    moments = pair_moments(df, list(dict.fromkeys([*columns, *(c for pair in wanted for c in pair)])))
+    r, n, rows = moments.r(), moments.n, []
+    for i, a in enumerate(columns):
+        for j, b in enumerate(columns):
+            value = 1.0 if i == j else _number(r[i, j])
+            rows.append(("matrix", a, b, int(n[i, j]), value, None, None))
+            if i < j and value is not None and abs(value) > above:
+                rows.append(("strong", a, b, int(n[i, j]), value, None, None))
+    for x, y in wanted:
+        count, slope, intercept, value = moments.fit(x, y)
+        rows.append(("fit", x, y, count, value, slope, intercept))
+    schema = "part string, var1 string, var2 string, n long, r double, slope double, intercept double"
+    return df.sparkSession.createDataFrame(rows, schema)
+
+
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Full square in long form, with the unit diagonal."""
     upper = correlations(df, columns)
