@@ -19,6 +19,8 @@ from panelcraft.operators.metrics import classification_metrics, compare_experim
 from panelcraft.operators.models import importance_table, random_forest
 from panelcraft.operators.splits import SEED, TEST_SHARE, label_indexer, with_stratified_folds, with_stratified_split
 from panelcraft.operators.tuning import accuracy, cross_val_score
+from panelcraft.session import scratch_folder, spread
+from panelcraft.sources.sinks import write_stage
 
 RESULT_SCHEMA = (
     "experiment string, n_features long, accuracy double, f1 double, cv_mean double, cv_std double, seconds double"
@@ -54,7 +56,8 @@ def experiment_splits(
         column = f"{name}_cluster"
         wide = attach_labels(wide, table.select(key, F.col("cluster").alias(column)), key).na.fill(MISSING_CLUSTER, subset=[column])
         inputs[name] = [*base, column]
-    return ExperimentSplits(with_stratified_split(wide, key, target, test_share, seed), inputs, key, target)
+    stored = write_stage(wide, scratch_folder(df.sparkSession, "experiments"))  # the split, the folds and all experiments read it
+    return ExperimentSplits(with_stratified_split(stored, key, target, test_share, seed), inputs, key, target)
 
 
 def run_experiments(
@@ -63,8 +66,8 @@ def run_experiments(
     """(result row per experiment, importance of every input per experiment, fitted models), all on the same rows."""
     spark = splits.rows.sparkSession
     coded = label_indexer(splits.rows, splits.target).transform(splits.rows)
-    train = with_stratified_folds(coded.where(~F.col("is_test")), splits.key, splits.target, folds).persist()
-    test = coded.where("is_test").persist()
+    train = spread(with_stratified_folds(coded.where(~F.col("is_test")), splits.key, splits.target, folds)).persist()
+    test = spread(coded.where("is_test")).persist()
     results, importances, models = [], None, {}
     try:
         for name, inputs in splits.inputs.items():

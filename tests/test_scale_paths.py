@@ -1,6 +1,7 @@
 """The paths meant for big or skewed inputs must agree with the plain ones."""
 
 from datetime import date, timedelta
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
@@ -9,9 +10,10 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from panelcraft.operators import panel_windows as pw
-from panelcraft.operators import splits
+from panelcraft.operators import splits, tuning
 from panelcraft.operators.clean import quantile_table
 from panelcraft.operators.panel_windows import PanelKey
+from panelcraft.session import kept
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -80,3 +82,30 @@ def test_one_exchange_for_all_row_features(spark):
     plan = out._jdf.queryExecution().sparkPlan().toString()
     executed = out._jdf.queryExecution().executedPlan().toString()
     assert executed.count("Exchange hashpartitioning") == 1 and plan.count("Window ") <= len({1, 2, 3})
+
+
+def test_training_rows_lie_on_all_cores(spark):
+    """A narrow table is read in few parts: before, a training kept those, and left the other cores idle."""
+    cores = spark.sparkContext.defaultParallelism
+    few = spark.range(0, 900, 1, 1).select("id", F.rand(1).alias("x"))
+    with kept(few) as rows:
+        assert rows.rdd.getNumPartitions() == cores and rows.storageLevel.useMemory
+        sizes = rows.groupBy(F.spark_partition_id().alias("p")).count().collect()
+        assert len(sizes) == cores and max(r["count"] for r in sizes) < 2 * 900 / cores
+        assert sorted(rows.collect()) == sorted(few.collect())
+    assert not rows.storageLevel.useMemory and not few.storageLevel.useMemory
+    mine = spark.range(50).persist()
+    with kept(mine) as rows:
+        assert rows is mine
+    assert mine.storageLevel.useMemory  # what the caller keeps stays kept
+    mine.unpersist()
+
+
+@pytest.mark.parametrize("train", ["grid_search", "cross_val_score"])
+def test_trainings_spread_their_rows(spark, monkeypatch, train):
+    seen = []
+    monkeypatch.setattr(tuning, "cross_validate", lambda e, g, v, df, *a: seen.append(df.rdd.getNumPartitions()) or SimpleNamespace(avgMetrics=[1.0], stdMetrics=[0.0], bestModel=None))
+    few = spark.range(0, 90, 1, 1).withColumn("fold", (F.col("id") % 3).cast("int"))
+    args = (None, [{}], None, few) if train == "grid_search" else (None, None, few)
+    getattr(tuning, train)(*args)
+    assert seen == [spark.sparkContext.defaultParallelism]
