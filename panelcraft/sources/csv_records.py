@@ -15,7 +15,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from panelcraft.session import cut_lineage
+from panelcraft.session import cut_lineage, scratch_folder
+from panelcraft.sources.sinks import write_stage
 
 OUTSIDE, INSIDE = 0, 1
 #: The states of so many splits, a row each, are sent to all tasks; those of more are joined.
@@ -51,6 +52,7 @@ def _states(delimiter: str, quote: str):
         place, number, states, begun = None, 0, [OUTSIDE, INSIDE], [0, 0]
         for b in batches:
             plain = pc.invert(pc.match_substring(b.column("value"), quote)).to_pylist()
+            texts = b.column("value").to_pylist()
             blank = pc.equal(pc.utf8_trim_whitespace(b.column("value")), "").to_pylist()
             keys = zip(b.column("file").to_pylist(), b.column("block").to_pylist())
             rows: dict[str, list] = {c: [] for c in ("line", "s0", "e0", "r0", "s1", "e1", "r1")}
@@ -64,7 +66,7 @@ def _states(delimiter: str, quote: str):
                         before = states[h]
                         begun[h] += before == OUTSIDE and not blank[k]
                         if not plain[k]:
-                            states[h] = line_end(b.column("value")[k].as_py(), before, delimiter, quote)
+                            states[h] = line_end(texts[k], before, delimiter, quote)
                         rows[f"s{h}"].append(before)
                         rows[f"e{h}"].append(states[h])
                         rows[f"r{h}"].append(begun[h])
@@ -88,7 +90,8 @@ def csv_records(spark: SparkSession, path: str | Sequence[str], delimiter: str =
         F.regexp_replace("value", "\r$", "").alias("value"),
     )
     schema = "file string, block long, value string, line long, s0 long, e0 long, r0 long, s1 long, e1 long, r1 long"
-    both = lines.mapInArrow(_states(delimiter, quote), schema)
+    # stored once: splits, whole records and broken ones are read from it, and lines pass through Python a single time
+    both = write_stage(lines.mapInArrow(_states(delimiter, quote), schema), scratch_folder(spark, "csv-lines"))
     # a split keeps the state before it, swaps it, or sets it: what it was set to last, and the swaps since, fix it
     last = F.max_by(F.struct("e0", "e1", "r0", "r1"), "line")
     splits = both.groupBy("file", "block").agg(last.alias("x")).select("file", "block", "x.*")

@@ -14,6 +14,7 @@ from panelcraft.operators import splits, tuning
 from panelcraft.operators.clean import quantile_table
 from panelcraft.operators.panel_windows import PanelKey
 from panelcraft.session import kept
+from panelcraft.sources.csv_records import csv_records
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -109,3 +110,11 @@ def test_trainings_spread_their_rows(spark, monkeypatch, train):
     args = (None, [{}], None, few) if train == "grid_search" else (None, None, few)
     getattr(tuning, train)(*args)
     assert seen == [spark.sparkContext.defaultParallelism]
+
+
+def test_csv_lines_pass_through_python_once(spark, tmp_path):
+    """Before, the states of all lines were worked out three times: for the splits, the whole and the broken records."""
+    (tmp_path / "a.csv").write_text('a,"b\nc"\nd,e\n\n"f ""g""\n\nh",i\n')
+    found = csv_records(spark, str(tmp_path / "a.csv"))
+    assert "MapInArrow" not in found._jdf.queryExecution().executedPlan().toString()
+    assert [r["value"] for r in found.orderBy("block", "record").collect()] == ['a,"b\nc"', "d,e", '"f ""g""\n\nh",i']
