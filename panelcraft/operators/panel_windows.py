@@ -217,8 +217,12 @@ def _split_cells(df: DataFrame, key: PanelKey, max_rows: int) -> DataFrame:
     bounds = (
         df.select(key.entity, key.date, ties[0]).join(big, on, "left_semi")
         .groupBy(F.col(key.entity).alias("_be"), F.col(key.date).alias("_bd"))
-        .agg(F.percentile_approx(ties[0], cuts, 10_000).alias("_bounds"))
+        .agg(F.percentile_approx(ties[0], cuts, 10_000).alias("_cuts"), F.count("*").alias("_rows"))
     )
+    # about half of max_rows in a part: a row is compared with no more bounds than its cell needs
+    parts = F.least(F.lit(SPLITS), F.ceil(F.col("_rows") * 2 / F.lit(max_rows)).cast("int"))
+    chosen = F.transform(F.sequence(F.lit(1), parts - 1), lambda i: F.element_at("_cuts", F.floor(i * SPLITS / parts).cast("int")))
+    bounds = bounds.select("_be", "_bd", chosen.alias("_bounds"))
     joined = df.join(bounds, on, "left")
     part = F.size(F.filter("_bounds", lambda b: b <= F.col(ties[0])))
     return joined.select(*df.columns, F.when(F.col("_bounds").isNull(), 0).otherwise(part).alias("_part"))
