@@ -43,13 +43,16 @@ class RunLengthIndex:
 
     def matching_statistics(self) -> np.ndarray:
         """For each place of the text, end marks included, the longest match with another place."""
-        best = np.zeros(self.size, np.int64)
-        place = np.arange(self.size)
+        best = np.zeros(self.size, np.int32)
+        place = np.arange(self.size, dtype=np.int32)
         for at, match in ((self.head_at, self.head_match), (self.tail_at, self.tail_match)):
-            value, sampled = np.zeros(self.size, np.int64), np.zeros(self.size, bool)
-            value[at], sampled[at] = match, True
-            last = np.maximum.accumulate(np.where(sampled, place, 0))
-            best = np.maximum(best, value[last] - (place - last))
+            value, last = np.zeros(self.size, np.int32), np.zeros(self.size, np.int32)
+            value[at], last[at] = match, at
+            np.maximum.accumulate(last, out=last)  # the last sampled place
+            value = value[last]
+            value -= place
+            value += last
+            np.maximum(best, value, out=best)
         return best
 
 

@@ -29,8 +29,8 @@ HEAVY = 32
 CROWD = 4_096
 #: Characters of text whose places one anchor range holds, about; ranges grow in number with the input, not in size.
 RANGE_CHARS = 8_000_000
-#: Bytes of pieces in an index block.
-BLOCK = 2_000_000
+#: Bytes of pieces in an index block; an index takes about a hundred bytes of memory for each.
+BLOCK = 500_000
 
 _words = WordHashes()  # of this worker process
 _BYTE_HASHES = scrambled(np.arange(1, 257, dtype=np.uint64))
@@ -70,7 +70,7 @@ class Symbols:
             h = self.grams(part)
             elected = minimizers(h, self.width - self.gram + 1)
             first = np.flatnonzero(np.r_[True, elected[1:] != elected[:-1]])
-            anchors.append(h[elected[first]])
+            anchors.append(scrambled(h[elected[first]]))  # elected hashes are small ones; ranges of them must be even
             starts.append(first + at)
             spans.append(np.diff(np.r_[first, len(elected)]))
         none = np.zeros(0, np.int64)

@@ -18,29 +18,35 @@ class SuffixOrder:
         self.starts = self.ends - lengths
         n = int(self.ends[-1]) + 1 if len(pieces) else 0
         values = np.unique(np.concatenate(pieces), return_inverse=True)[1] if n > len(pieces) else np.zeros(0, np.int64)
-        self.symbols = np.empty(n, np.int64)
+        self.symbols = np.empty(n, np.int32)
         body = np.ones(n, bool)
         body[self.ends] = False
-        self.body = body
         self.symbols[body] = values + len(pieces)
+        del values, body
         self.symbols[self.ends] = np.arange(len(pieces))
         rank, span, longest = self.symbols, 1, int(lengths.max(initial=0)) + 1
         self.ranks = [rank]
         while span < longest:
             base = int(rank.max()) + 2
             key = rank * np.int64(base)
-            key[: n - span] += rank[span:] + 1
+            key[: n - span] += rank[span:]
+            key[: n - span] += 1
             if span == 1 and base**4 < 1 << 62:  # pairs tell each other apart as they are; only fours need sorting
                 rank, span = key, 2
-                self.ranks.append(key)
+                self.ranks.append(key.astype(np.int32) if base**2 < 1 << 31 else key)
                 continue
-            order = np.argsort(key, kind="stable")
-            sorted_key = key[order]
-            rank = np.empty(n, np.int64)
-            rank[order] = np.cumsum(np.r_[False, sorted_key[1:] != sorted_key[:-1]])
-            self.ranks.append(rank.astype(np.int32))
+            order = np.argsort(key, kind="stable").astype(np.int32)
+            key = key[order]
+            new = np.zeros(n, bool)
+            np.not_equal(key[1:], key[:-1], out=new[1:])
+            del key
+            rank = np.empty(n, np.int32)
+            rank[order] = np.cumsum(new, dtype=np.int32)
+            self.ranks.append(rank)
             span *= 2
-        self.order = np.argsort(rank, kind="stable")
+            if new[1:].all():  # every suffix has a place of its own; the ranks of longer prefixes would be the same
+                break
+        self.order = order if span > 2 else np.argsort(rank, kind="stable")
 
     def agree(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """How many symbols the suffixes at ``a`` and ``b`` share."""
