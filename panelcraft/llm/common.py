@@ -177,12 +177,15 @@ def linked_groups(edges: DataFrame, max_rounds: int = 200) -> DataFrame:
     return stars.unionByName(centres.join(stars.select("node"), "node", "left_anti"))
 
 
-def slices(batch: pa.RecordBatch, text: int, rows: int = 10_000) -> Iterator[pa.RecordBatch]:
-    """``batch`` in consecutive slices of at most ``rows`` rows and about ``SLICE_BYTES`` of column ``text``."""
-    sizes = np.array([len(t.as_buffer()) if t.is_valid else 0 for t in batch.column(text)], np.int64)
+def slices(batch: pa.RecordBatch, text: int | pa.Array, rows: int = 10_000, most: int | None = None) -> Iterator[pa.RecordBatch]:
+    """``batch`` in consecutive slices of at most ``rows`` rows and about ``most`` bytes (``SLICE_BYTES``) of ``text``,
+    a column of it or strings of its rows."""
+    most = SLICE_BYTES if most is None else most
+    column = batch.column(text) if isinstance(text, int) else text
+    sizes = np.array([len(t.as_buffer()) if t.is_valid else 0 for t in column], np.int64)
     start, size = 0, 0
     for i, n in enumerate(sizes.tolist()):
-        if i > start and (size + n > SLICE_BYTES or i - start >= rows):
+        if i > start and (size + n > most or i - start >= rows):
             yield batch.slice(start, i - start)
             start, size = i, 0
         size += n

@@ -8,17 +8,18 @@ higher-order aggregate into its pieces, and texts are put together from the piec
 from __future__ import annotations
 
 import heapq
-import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from operator import add
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
+from panelcraft.llm.common import slices
 from panelcraft.session import scratch_folder
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -28,10 +29,12 @@ FREQUENT = 200_000
 #: Characters of a unit that the fold takes: its cuts are the bits of one long. Longer ones, which no natural text
 #: has, are merged with a heap (or, for unigram models, folded all the same).
 LONGEST_UNIT = 61
-#: Words and their units, or pieces, that a task remembers; beyond it starts afresh.
-REMEMBERED = 150_000
+#: Different units that a task counts before it passes them on and starts afresh.
+REMEMBERED = 300_000
+#: Bytes of texts that are cut into units at a time, about; a single longer text is taken alone.
+PART_BYTES = 2_000_000
 _DIGITS = "0123456789ABCDEF"
-_SPACED = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
+_GAPS = range(0xFDD0, 0x110000)  # the first that no text at hand holds stands between units
 
 
 @dataclass(frozen=True)
@@ -92,62 +95,54 @@ def load_model(path: str = MODEL, kind: str = "bpe") -> PieceModel:
     return PieceModel(pieces, tuple(m.get_score(i) for i in ids), m.piece_to_id("<0x00>") if "<0x00>" in pieces else -1, m.unk_id(), kind, special, control)
 
 
-def spaced_words(text: str) -> list[str]:
-    """Words of a text, each without the one space before it (or before the text); further spaces stay at its start."""
-    if not text:
-        return []
-    if "  " not in text and MARK not in text:
-        return text.split(" ")
-    return [w[1:] for w in _SPACED.findall(MARK + text.replace(" ", MARK))]
-
-
-class Cutter(dict):
-    """Word -> the units that a lattice may take alone, remembered while they fit. Together the units of a text are the
-    text with a space before it and spaces marked; marks never stand after other characters in a piece."""
+class Cutter:
+    """Cuts texts into the units that a lattice may take alone: wherever no piece holds both neighbours, and before
+    each run of spaces. Together the units of a text are the text with a space before it and spaces marked; marks never
+    stand after other characters in a piece. Of a text without characters there are none."""
 
     def __init__(self, meets: frozenset[str]):
-        super().__init__()
-        self.meets = meets
-
-    def __missing__(self, word: str) -> tuple[str, ...]:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        meets, marked = self.meets, MARK + word
-        start, out = 0, []
-        for i in range(1, 1 if meets.issuperset(map(add, marked, word)) else len(marked)):
-            if marked[i - 1 : i + 1] not in meets:
-                out.append(marked[start:i])
-                start = i
-        out.append(marked[start:])
-        found = self[word] = tuple(out)
-        return found
-
-
-class Speller(dict):
-    """Word -> the ids of its units, 4 bytes each, from those sent to every task and those that came with the texts."""
-
-    def __init__(self, cutter: Cutter, sent: dict[str, bytes]):
-        super().__init__()
-        self.cutter, self.sent, self.extra = cutter, sent, {}
-
-    def __missing__(self, word: str) -> bytes:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        found = self[word] = b"".join([self.sent[u] if u in self.sent else self.extra[u] for u in self.cutter[word]])
-        return found
+        letters = sorted(set("".join(meets)) | {MARK})
+        self.kind = np.zeros(0x110000, np.int32)  # of a character; 0: no piece joins it to another
+        self.kind[list(map(ord, letters))] = np.arange(1, len(letters) + 1)
+        self.many = len(letters) + 1
+        pairs = np.array([list(map(ord, p)) for p in meets], np.int64).reshape(-1, 2)
+        apart = np.ones((self.many, self.many), bool)
+        apart[self.kind[pairs[:, 0]], self.kind[pairs[:, 1]]] = False
+        mark = self.kind[ord(MARK)]
+        apart[np.arange(self.many) != mark, mark] = True
+        self.apart = apart.ravel()
+
+    def units(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
+        """The units of all texts in a row, and after how many of them each text ends."""
+        sizes = np.array([len(t) + 1 if t else 0 for t in texts], np.int64)
+        ends = np.cumsum(sizes)
+        if not sizes.any():
+            return [], np.zeros(len(texts), np.int64)
+        marked = "".join([MARK + t for t in texts if t]).replace(" ", MARK)
+        codes = np.frombuffer(marked.encode("utf-32-le"), np.uint32)
+        kind = self.kind[codes]
+        cut = np.r_[True, self.apart[kind[:-1] * self.many + kind[1:]]]
+        cut[ends[(sizes > 0) & (ends < len(codes))]] = True
+        first = np.flatnonzero(cut)
+        gap = next(g for g in _GAPS if chr(g) not in marked)
+        return np.insert(codes, first[1:], gap).tobytes().decode("utf-32-le").split(chr(gap)), np.searchsorted(first, ends)
 
 
 def _counts(model: PieceModel):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cutter = Cutter(model.meets())
+        cutter, n = Cutter(model.meets()), Counter()
+
+        def counted() -> pa.RecordBatch:
+            units = sorted(n)  # what begins alike lies together, which shuffles compress
+            return pa.RecordBatch.from_pydict({"unit": pa.array(units, pa.string()), "n": pa.array([n[u] for u in units], pa.int64())})
+
         for b in batches:
-            n, units = Counter(), Counter()
-            for t in b.column(0):
-                n.update(spaced_words(t.as_py()))
-            for w, k in n.items():
-                for u in cutter[w]:
-                    units[u] += k
-            yield pa.RecordBatch.from_pydict({"unit": pa.array(list(units), pa.string()), "n": pa.array(list(units.values()), pa.int64())})
+            for part in slices(b, 0, most=PART_BYTES):
+                n.update(cutter.units(part.column(0).to_pylist())[0])
+                if len(n) >= REMEMBERED:
+                    yield counted()
+                    n.clear()
+        yield counted()
 
     return run
 
@@ -311,7 +306,8 @@ def encode(docs: DataFrame, text: str = "text", model: PieceModel | None = None,
     """``docs`` with the piece ids of each text under ``name``.
 
     All distinct units of the table go through the lattice once. The ids of the commonest, ``frequent`` at most (a fixed
-    bound), are sent to all tasks; the others are joined to the texts that use them.
+    bound), are sent to all tasks; the others are joined to the parts of the table that use them. A part is some
+    megabytes of rows, compressed as one value; so few pairs of part and unit move, and texts move compressed.
 
     Null texts get null, empty ones an empty array. Rows are told apart by nothing but their text, so ties and repeated
     rows do not matter. An empty table gives an empty result. Extra columns pass; one that bears the name of the
@@ -330,53 +326,67 @@ def encode(docs: DataFrame, text: str = "text", model: PieceModel | None = None,
         reached += sizes.get(least, 0)
     # a unit makes about a hundred substrings, so parts are cut by their number
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), sum(sizes.values()) // 50_000 + 1)
-    codes = _stored(unit_ids(units.select("unit", (level >= least).alias("common")).repartition(parts, "unit").sortWithinPartitions("unit"), model), "codes")
-    sent = spark.sparkContext.broadcast({r["unit"]: np.array(r["ids"], np.int32).tobytes() for r in codes.where("common").toLocalIterator()})
-    value = F.col("text")
-    hashed = {"t0": F.xxhash64(value), "t1": F.hash(value)}
+    coded_units = unit_ids(units.select("unit", (level >= least).alias("common")).repartition(parts, "unit").sortWithinPartitions("unit"), model)
+    short = np.dtype(np.uint16 if len(model.pieces) <= 1 << 16 else np.int32)
 
-    def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cutter, known = Cutter(model.meets()), sent.value
-        settled: set[str] = set()  # words without missing units
-        missing: dict[str, tuple[str, ...]] = {}
+    def shortened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            t0s, t1s, found = [], [], []
-            for t0, t1, t in zip(b.column("t0").to_pylist(), b.column("t1").to_pylist(), b.column("text")):
-                own = set()
-                for w in set(spaced_words(t.as_py())).difference(settled):
-                    more = missing.get(w)
-                    if more is None:
-                        more = tuple([u for u in cutter[w] if u not in known])
-                        if more:
-                            missing[w] = more
-                        else:
-                            settled.add(w)
-                    own.update(more)
-                if len(missing) + len(settled) >= REMEMBERED:
-                    missing.clear()
-                    settled.clear()
-                found.extend(own)
-                t0s.extend([t0] * len(own))
-                t1s.extend([t1] * len(own))
-            yield pa.RecordBatch.from_pydict({"t0": pa.array(t0s, pa.int64()), "t1": pa.array(t1s, pa.int32()), "unit": pa.array(found, pa.string())})
-
-    used = texts.withColumns(hashed).mapInArrow(rare, "t0 long, t1 int, unit string").distinct()
-    extra = used.join(codes.where("NOT common").select("unit", "ids"), "unit").groupBy("t0", "t1").agg(F.collect_list(F.struct("unit", "ids")).alias("extra"))
+            ids = b.column("ids")
+            at = (ids.offsets.to_numpy() - ids.offsets[0].as_py()) * short.itemsize
+            data = pa.py_buffer(ids.flatten().to_numpy().astype(short))
+            code = pa.Array.from_buffers(pa.binary(), len(ids), [None, pa.py_buffer(at.astype(np.int32)), data])
+            yield pa.RecordBatch.from_arrays([b.column("unit"), b.column("common"), code], names=["unit", "common", "code"])
+
+    codes = _stored(coded_units.mapInArrow(shortened, "unit string, common boolean, code binary"), "codes")
+    sent = spark.sparkContext.broadcast({r["unit"]: bytes(r["code"]) for r in codes.where("common").toLocalIterator()})
     kept = [c for c in docs.columns if c != name]
-    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(text).cast("string").alias("text")).withColumns(hashed).drop("text")
-    met = rows.join(extra, ["t0", "t1"], "left").select("row", F.col("row")[text].cast("string").alias("text"), "extra")
+    rows = docs.select(F.struct(*docs.columns).alias("row"))
+    if docs.schema[text].dataType != StringType():
+        rows = rows.withColumn("text", F.col("row")[text].cast("string"))
+    place = docs.columns.index(text)
+
+    def strings(b: pa.RecordBatch) -> pa.Array:
+        return b.column("text") if "text" in b.schema.names else b.column("row").field(place)
+
+    def parts_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.RecordBatch]]:
+        """Parts of the rows, numbered alike in every pass over them."""
+        found = (part for b in batches for part in slices(b, strings(b), most=PART_BYTES))
+        return enumerate(found, TaskContext.get().partitionId() << 32)
+
+    def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cutter, known = Cutter(model.meets()), sent.value
+        for k, part in parts_of(batches):
+            missing = sorted(set(cutter.units(strings(part).to_pylist())[0]).difference(known))
+            yield pa.RecordBatch.from_pydict({"part": pa.array([k] * len(missing), pa.int64()), "unit": pa.array(missing, pa.string())})
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 3))
+        for k, part in parts_of(batches):
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, part.schema, options=options) as out:
+                out.write_batch(part)
+            yield pa.RecordBatch.from_pydict({"part": pa.array([k], pa.int64()), "packed": pa.array([sink.getvalue().to_pybytes()], pa.binary())})
+
+    used = rows.mapInArrow(rare, "part long, unit string")
+    extra = used.join(codes.where("NOT common").select("unit", "code"), "unit").groupBy("part").agg(F.collect_list(F.struct("unit", "code")).alias("extra"))
+    met = rows.mapInArrow(packed, "part long, packed binary").join(extra, "part", "left").select("packed", "extra")
 
     def put_together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        speller = Speller(Cutter(model.meets()), sent.value)
+        cutter, known, rank = Cutter(model.meets()), sent.value, {}
         for b in batches:
-            more = b.column("extra").flatten()
-            ids, at = more.field("ids").values.to_numpy().tobytes(), (more.field("ids").offsets.to_numpy() * 4).tolist()
-            speller.extra = {u: ids[i:j] for u, i, j in zip(more.field("unit").to_pylist(), at, at[1:])}
-            raw = [b"".join([speller[w] for w in spaced_words(t.as_py())]) if t.is_valid else None for t in b.column("text")]
-            values = pa.array(np.frombuffer(b"".join([r for r in raw if r]), np.int32))
-            ends = np.r_[0, np.cumsum([len(r) // 4 if r else 0 for r in raw])].astype(np.int32)
-            ids = pa.ListArray.from_arrays(pa.array(ends), values, mask=pa.array([r is None for r in raw], pa.bool_()))
-            yield pa.RecordBatch.from_arrays([b.column("row"), ids], names=["row", "ids"])
+            for i in range(b.num_rows):
+                part = pa.ipc.open_stream(b.column("packed")[i].as_buffer()).read_next_batch()
+                units, ends = cutter.units(strings(part).to_pylist())
+                more = b.column("extra")[i].values
+                own = {} if more is None else dict(zip(more.field("unit").to_pylist(), more.field("code").to_pylist()))
+                for u in set(units).difference(known, own):  # should the rows have come in another order than before
+                    rank = rank or {p: (s, j) for p, j, s in model.plain()}
+                    own[u] = np.array(heap_ids(u, rank, model), short).tobytes()
+                spelt = [known[u] if u in known else own[u] for u in units]
+                after = np.r_[0, np.cumsum(np.fromiter(map(len, spelt), np.int64, len(spelt)) // short.itemsize)]
+                values = pa.array(np.frombuffer(b"".join(spelt), short).astype(np.int32))
+                ids = pa.ListArray.from_arrays(pa.array(np.r_[0, after[ends]].astype(np.int32)), values, mask=strings(part).is_null())
+                yield pa.RecordBatch.from_arrays([part.column("row"), ids], names=["row", "ids"])
 
     coded = met.mapInArrow(put_together, f"row {rows.schema['row'].dataType.simpleString()}, ids array<int>")
     return coded.select(*[F.col("row")[c].alias(c) for c in kept], F.col("ids").alias(name))
