@@ -6,19 +6,19 @@ import time
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.ml.classification import RandomForestClassificationModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelcraft.functions.columns import numeric_columns, require_columns
+from panelcraft.operators.booster import score_summary
 from panelcraft.operators.checks import finite_measures
 from panelcraft.operators.clean import median_impute
+from panelcraft.operators.forest import ForestModel, Growth, grow
 from panelcraft.operators.integrate import attach_labels
 from panelcraft.operators.metrics import classification_metrics, compare_experiments, experiment_conclusion, importance_rank
-from panelcraft.operators.models import importance_table, random_forest
+from panelcraft.operators.models import importance_table
 from panelcraft.operators.splits import SEED, TEST_SHARE, label_indexer, with_stratified_folds, with_stratified_split
-from panelcraft.operators.tuning import accuracy, cross_val_score
 from panelcraft.session import scratch_folder, spread
 from panelcraft.sources.sinks import write_stage
 
@@ -62,10 +62,11 @@ def experiment_splits(
 
 def run_experiments(
     splits: ExperimentSplits, trees: int = 100, depth: int = 10, leaf: int = 2, folds: int = 5
-) -> tuple[DataFrame, DataFrame, dict[str, RandomForestClassificationModel]]:
+) -> tuple[DataFrame, DataFrame, dict[str, ForestModel]]:
     """(result row per experiment, importance of every input per experiment, fitted models), all on the same rows."""
     spark = splits.rows.sparkSession
-    coded = label_indexer(splits.rows, splits.target).transform(splits.rows)
+    indexer = label_indexer(splits.rows, splits.target)
+    coded, classes = indexer.transform(splits.rows), len(indexer.labels)
     train = spread(with_stratified_folds(coded.where(~F.col("is_test")), splits.key, splits.target, folds)).persist()
     test = spread(coded.where("is_test")).persist()
     results, importances, models = [], None, {}
@@ -73,13 +74,13 @@ def run_experiments(
         for name, inputs in splits.inputs.items():
             assembler = VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="error")
             ready = assembler.transform(train)
-            estimator = random_forest(trees, depth, leaf)
             start = time.time()
-            model = estimator.fit(ready)
+            # the forest of all rows and those of the folds grow side by side; the seconds are those of all of them
+            model, scores = grow(ready, Growth(trees, depth, leaf), classes, folds)
             seconds = time.time() - start
             scored = model.transform(assembler.transform(test))
             row = classification_metrics(scored, "label", "prediction").first()
-            mean, std = cross_val_score(estimator, accuracy(), ready, folds)
+            mean, std = score_summary(scores, "accuracy")
             results.append((name, len(inputs), row["accuracy"], row["f1_weighted"], mean, std, seconds))
             table = importance_table(model, inputs, spark, name)
             importances = table if importances is None else importances.unionByName(table)
